@@ -15,8 +15,8 @@ FOOTNOTE = r"[(\[](?:[0-9]{1,2}|[a-z])[)\]]|[¹²³⁴-⁹†‡*]+"
 
 def squeeze(c: Column) -> Column:
     """Blanks of any kind to one space, dashes of any kind to a hyphen, ends trimmed."""
-    c = F.regexp_replace(c, r"[\p{Z}\s​﻿]+", " ")
-    return F.trim(F.regexp_replace(c, r"[‐-―−]", "-"))
+    c = F.regexp_replace(c, r"[\p{Z}\s\u200b\ufeff]+", " ")
+    return F.trim(F.regexp_replace(c, r"[\u2010-\u2015\u2212]", "-"))
 
 
 def label(c: Column) -> Column:
@@ -30,54 +30,46 @@ def slug(c: Column) -> Column:
     return F.replace(label(c), F.lit(" "), F.lit("_"))
 
 
-def first_rule(c: Column, rules: tuple[tuple[str, str], ...], otherwise: Column) -> Column:
-    """The name of the first pattern found in ``c``; null stays null."""
-    out = F.when(c.isNull(), F.lit(None).cast("string"))
-    for pattern, name in rules:
-        out = out.when(c.rlike(pattern), F.lit(name))
-    return out.otherwise(otherwise)
+def lookup(key: Column, names: dict[str, str]) -> Column:
+    """``names[key]``, null where absent; the key expression is evaluated once."""
+    pairs = [F.lit(x) for item in names.items() for x in item]
+    return F.try_element_at(F.create_map(*pairs), key)
 
 
-DWELLING_RULES = (
-    (r"^total\b", "total"), (r"^semi", "semi_detached"), (r"^single\b", "single_detached"),
-    (r"^row\b", "row"), (r"^apartment", "apartment_and_other"),
-)
-MEASURE_RULES = (
-    (r"\bstarts?\b", "housing_starts"), (r"\bcompletions?\b", "housing_completions"),
-    (r"\bunder construction\b", "housing_under_construction"),
-)
-MEMBER_RULES = (
-    (r"^home ?owners?$", "starts_homeowner"), (r"^rentals?$", "starts_rental"), (r"^condo(minium)?s?$", "starts_condominium"),
-    (r"^co ?op(erative)?s?$", "starts_cooperative"), (r"^other markets?$", "starts_other_market"),
-)
+# How the publisher's labels begin, and the names used for them.
+DWELLINGS = {"total": "total", "semi": "semi_detached", "single": "single_detached", "row": "row", "apartment": "apartment_and_other"}
+MEASURES = {"start": "housing_starts", "completion": "housing_completions", "under construction": "housing_under_construction"}
+MEMBERS = {
+    "homeowner": "starts_homeowner", "rental": "starts_rental", "condo": "starts_condominium", "condominium": "starts_condominium",
+    "coop": "starts_cooperative", "cooperative": "starts_cooperative", "othermarket": "starts_other_market",
+}
 
 
 def dwelling_type(c: Column) -> Column:
     """total, single_detached, semi_detached, row, apartment_and_other; others become unmapped_<slug>."""
-    return first_rule(label(c), DWELLING_RULES, F.concat(F.lit("unmapped_"), slug(c)))
+    key = F.regexp_extract(label(c), rf"^({'|'.join(DWELLINGS)})", 1)
+    return F.coalesce(lookup(key, DWELLINGS), F.concat(F.lit("unmapped_"), slug(c)))
 
 
 def measure_column(c: Column) -> Column:
-    return first_rule(label(c), MEASURE_RULES, slug(c))
+    return F.coalesce(lookup(F.regexp_extract(label(c), rf"\b({'|'.join(MEASURES)})s?\b", 1), MEASURES), slug(c))
 
 
 def member_column(c: Column) -> Column:
-    return first_rule(label(c), MEMBER_RULES, F.concat(F.lit("starts_"), slug(c)))
+    key = F.regexp_extract(label(c), r"^(home ?owner|rental|condo(?:minium)?|co ?op(?:erative)?|other market)s?$", 1)
+    return F.coalesce(lookup(F.replace(key, F.lit(" "), F.lit("")), MEMBERS), F.concat(F.lit("starts_"), slug(c)))
 
 
 def ref_month(c: Column) -> Column:
     """'yyyy-MM' of any clear spelling of one month (2024-03, 2024/3, 2024M03, 202403, 03/2024, Mar 2024, 2024-03-01)."""
     t = F.lower(squeeze(c))
-    lead = r"^([0-9]{4}) ?[-/.m ]? ?([0-9]{1,2})(?:[-/.][0-9]{1,2}(?:[t ].*)?)?$"
-    tail = r"^(?:[0-9]{1,2}[-/.])?([0-9]{1,2})[-/.]([0-9]{4})$"
-    name, named_year = F.regexp_extract(t, r"(\p{L}{3,})", 1), F.regexp_extract(t, r"\b([0-9]{4})\b", 1)
-    by_name = F.lit(None).cast("string")
-    for i, stems in enumerate(MONTH_STEMS, 1):
-        by_name = F.when(name.rlike("^(?:" + "|".join(stems) + ")"), F.lit(f"{i:02d}")).otherwise(by_name)
-    year = F.when(t.rlike(lead), F.regexp_extract(t, lead, 1)).when(t.rlike(tail), F.regexp_extract(t, tail, 2)).when(by_name.isNotNull(), named_year)
-    month = F.when(t.rlike(lead), F.regexp_extract(t, lead, 2)).when(t.rlike(tail), F.regexp_extract(t, tail, 1)).otherwise(by_name)
-    month = F.lpad(month, 2, "0")
-    return F.when(month.between("01", "12") & (F.length(year) == 4), F.concat_ws("-", year, month))
+    year_first = F.regexp_replace(t, r"^([0-9]{4}) ?[-/.m ]? ?([0-9]{1,2})(?:[-/.][0-9]{1,2}(?:[t ].*)?)?$", "$1-0$2")
+    plain = F.regexp_replace(year_first, r"^(?:[0-9]{1,2}[-/.])?([0-9]{1,2})[-/.]([0-9]{4})$", "$2-0$1")
+    clear = F.nullif(F.regexp_extract(plain, r"^([0-9]{4}-)0*(?:[1-9]|1[0-2])$", 1), F.lit(""))
+    by_number = F.concat(clear, F.lpad(F.regexp_extract(plain, r"-0*([1-9]|1[0-2])$", 1), 2, "0"))
+    stems = {stem: f"{i:02d}" for i, some in enumerate(MONTH_STEMS, 1) for stem in some}
+    by_name = F.concat(F.regexp_extract(t, r"\b([0-9]{4})\b", 1), F.lit("-"), lookup(F.regexp_extract(t, rf"\b({'|'.join(stems)})\p{{L}}*", 1), stems))
+    return F.coalesce(by_number, F.when(by_name.rlike(r"^[0-9]{4}-"), by_name))
 
 
 def area_code(dguid: Column) -> Column:

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections import defaultdict, deque
-from collections.abc import Iterable
 from dataclasses import dataclass
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import squeeze
+from tidemark.functions.text import lookup, squeeze
 
 
 @dataclass(frozen=True)
@@ -91,28 +90,23 @@ def dwelling_units() -> UnitGraph:
     return UnitGraph(tuple(edges))
 
 
-UNIT_WORDS = (
-    (r"million", "million"), (r"milliard|billion", "billion"), (r"thousand|millier|(?<![0-9])000|\bk\b|[x*×] ?1[ ,]?000\b", "thousand"),
-    (r"hundred|centaine|[x*×] ?100\b", "hundred"), (r"\btens?\b|dizaine|[x*×] ?10\b", "ten"),
-    (r"dozen|douzaine", "dozen"), (r"\bpairs?\b|\bpaires?\b", "pair"),
-)
+# Words and marks by which texts name a unit, and the unit.
+UNIT_WORDS = {
+    "million": "million", "milliard": "billion", "billion": "billion", "thousand": "thousand", "millier": "thousand", "hundred": "hundred", "centaine": "hundred",
+    "ten": "ten", "dizaine": "ten", "dozen": "dozen", "douzaine": "dozen", "pair": "pair", "000": "thousand", "k": "thousand", "10": "ten", "100": "hundred", "1000": "thousand",
+}
+UNIT_MARK = r"(million|milliard|billion|thousand|millier|hundred|centaine|dozen|douzaine|pair|\bten|dizaine|(?<![0-9])000|\bk\b|[x*×] ?1[ ,]?000\b|[x*×] ?100?\b)"
 
 
 def unit_words(c: Column) -> Column:
     """The unit other than a single one that a text names, else null."""
-    t, out = F.lower(squeeze(c)), F.lit(None).cast("string")
-    for pattern, name in reversed(UNIT_WORDS):
-        out = F.when(t.rlike(pattern), F.lit(name)).otherwise(out)
-    return out
+    mark = F.regexp_replace(F.regexp_extract(F.lower(squeeze(c)), UNIT_MARK, 1), "[x*× ,]", "")
+    return lookup(mark, UNIT_WORDS)
 
 
 def unit_scale(c: Column) -> Column:
     """The unit of a decimal exponent such as SCALAR_ID; 0, null and unknown exponents name none."""
-    power = F.trim(squeeze(c)).try_cast("int")
-    out = F.lit(None).cast("string")
-    for name, p in SCALES.items():
-        out = F.when(power == p, F.lit(name)).otherwise(out)
-    return out
+    return lookup(F.trim(squeeze(c)).try_cast("int").cast("string"), {str(p): name for name, p in SCALES.items()})
 
 
 NUMBER = r"^([+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+))"
@@ -123,24 +117,22 @@ def number_text(c: Column) -> Column:
     return F.regexp_replace(squeeze(c), r"(?<=[0-9])[, ]+(?=[0-9])", "")
 
 
-def number(c: Column) -> Column:
-    """The leading number of a text as decimal(24,6), else null; scientific notation is no plain number."""
-    t = number_text(c)
-    return F.when(~t.rlike(NUMBER + r"[eE][+-]?[0-9]"), F.nullif(F.regexp_extract(t, NUMBER, 1), F.lit("")).try_cast("decimal(24,6)"))
+def read_units(df: DataFrame, value: str = "VALUE", scalar_id: str = "SCALAR_ID", scalar_factor: str = "SCALAR_FACTOR", uom: str = "UOM") -> DataFrame:
+    """Add value_number, decimal(24,6), and source_unit, the one unit a row states, wherever it does.
 
-
-def stated_unit(scalar_id: Column, scalar_factor: Column, uom: Column, value: Column) -> Column:
-    """The one unit a row states, wherever it does; stated twice it counts once, nothing stated is 'unit'.
-
-    A pack and a power of ten together are their product ('dozen*thousand'). Two different powers, or two
-    packs, contradict each other: the name joined by '|' is in no graph, so such a row gets no quantity.
+    A value without a leading number has none; scientific notation is no plain number. A unit stated twice counts once,
+    nothing stated is 'unit'. A pack and a power of ten together are their product ('dozen*thousand'). Two different
+    powers, or two packs, contradict each other: the name joined by '|' is in no graph, so such a row gets no quantity.
     """
-    rest = F.regexp_replace(number_text(value), NUMBER, "")
-    said = F.array_sort(F.array_distinct(F.array_compact(F.array(unit_scale(scalar_id), unit_words(scalar_factor), unit_words(uom), unit_words(rest)))))
-    packs = F.filter(said, lambda x: x.isin(*PACKS))
-    return (
+    t, said = F.col("_text"), F.col("_said")
+    numbered = df.withColumn("_text", number_text(F.col(value))).withColumn("_number", F.nullif(F.regexp_extract(t, NUMBER, 1), F.lit("")))
+    rest = F.regexp_replace(t, NUMBER, "")
+    stated = F.array(unit_scale(F.col(scalar_id)), unit_words(F.col(scalar_factor)), unit_words(F.col(uom)), unit_words(rest))
+    listed = numbered.withColumn("_said", F.array_sort(F.array_distinct(F.array_compact(stated)))).withColumn("_packs", F.array_intersect(said, F.array(*map(F.lit, PACKS))))
+    one = (
         F.when(F.size(said) == 0, F.lit("unit"))
-        .when(F.size(said) == 1, said[0])
-        .when((F.size(said) == 2) & (F.size(packs) == 1), F.concat_ws("*", packs, F.array_except(said, packs)))
+        .when((F.size(said) == 2) & (F.size("_packs") == 1), F.concat_ws("*", "_packs", F.array_except(said, "_packs")))
         .otherwise(F.array_join(said, "|"))
     )
+    plain = ~t.rlike(NUMBER + r"[eE][+-]?[0-9]")
+    return listed.withColumns({"value_number": F.when(plain, F.col("_number").try_cast("decimal(24,6)")), "source_unit": one}).drop("_text", "_number", "_said", "_packs")

@@ -2,33 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.units import UnitGraph, dwelling_units, number, stated_unit
+from tidemark.functions.units import UnitGraph, dwelling_units, read_units
 
 
-def to_common_unit(df: DataFrame, value: Column, unit: Column, graph: UnitGraph, target: str) -> DataFrame:
-    """Add value_number, source_unit, unit_factor, unit_offset and quantity = number * factor + offset, in ``target``.
+def to_common_unit(df: DataFrame, graph: UnitGraph, target: str) -> DataFrame:
+    """Add unit_factor, unit_offset and quantity = value_number * factor + offset, in ``target``, by source_unit.
 
     The join's right side is the unit registry: one row per unit, so it is broadcast whatever the data's size.
-    A null or unreadable value, or a unit the graph does not reach, gives a null quantity; the row stays.
+    A null value, or a unit the graph does not reach, gives a null quantity; the row stays.
     """
     table = F.broadcast(graph.table(df.sparkSession, target).select("source_unit", "unit_factor", "unit_offset"))
-    clash = {"source_unit", "unit_factor", "unit_offset", "value_number", "quantity"} & set(df.columns)
-    keyed = df.drop(*clash).withColumns({"value_number": value, "source_unit": unit})
-    return keyed.join(table, "source_unit", "left").withColumn("quantity", F.col("value_number") * F.col("unit_factor") + F.col("unit_offset"))
+    clash = {"unit_factor", "unit_offset", "quantity"} & set(df.columns)
+    return df.drop(*clash).join(table, "source_unit", "left").withColumn("quantity", F.col("value_number") * F.col("unit_factor") + F.col("unit_offset"))
 
 
 def dwelling_quantity(df: DataFrame) -> DataFrame:
-    """The quantity of raw cube rows as bigint single dwelling units.
+    """The quantity of raw cube rows as bigint single dwelling units, beside value_number, source_unit and unit_factor.
 
     Quantities are whole: a number that is not whole after conversion has none (null), like a code or an empty VALUE.
     """
-    stated = stated_unit(F.col("SCALAR_ID"), F.col("SCALAR_FACTOR"), F.col("UOM"), F.col("VALUE"))
-    out = to_common_unit(df, number(F.col("VALUE")), stated, dwelling_units(), "unit")
-    whole = F.when(F.col("quantity") == F.floor(F.col("quantity")), F.col("quantity").try_cast("bigint"))
-    return out.withColumn("quantity", whole)
+    clash = {"value_number", "source_unit"} & set(df.columns)
+    out = to_common_unit(read_units(df.drop(*clash)), dwelling_units(), "unit")
+    return out.withColumn("quantity", F.when(F.col("quantity") == F.floor(F.col("quantity")), F.col("quantity").try_cast("bigint")))
 
 
 def rescaled_rows(df: DataFrame) -> DataFrame:
