@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.lexicon import MAX_WORD_BYTES, Lexicon, compile_lexicon
 from tidemark.llm.pretokens import character_classes, lay_out, slices
-from tidemark.session import shared_folder
+from tidemark.session import cut, shared_folder
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LEXICON_WORDS = 65_536
@@ -71,17 +71,34 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, most: int) -> list[bytes]:
+    """At most ``most`` words, all those more frequent than a bound found from a histogram of the counts.
+
+    Counts fall into sixteenths of an octave; the lowest class that would pass ``most`` is left out whole. So only the
+    histogram and the words themselves come to the driver, whatever the number of words or partitions.
+    """
+    classed = cut(counts.withColumn("k", F.floor(F.log2("n") * 16).cast("int")))
+    left, bound = most, None
+    for r in sorted(classed.groupBy("k").agg(F.count("*").alias("words")).collect(), reverse=True):
+        if r.words > left:
+            break
+        left, bound = left - r.words, r.k
+    if bound is None:
+        return []
+    return [bytes(r.word) for r in classed.filter(F.col("k") >= bound).select("word").collect()]
+
+
 def publish_lexicon(docs: DataFrame, tokenizer: str = TOKENIZER, words: int = LEXICON_WORDS, text: str = "text") -> str:
-    """Compile the corpus's ``words`` most frequent words (ties in byte order) and hand the file to all executors.
+    """Compile the corpus's most frequent words, at most ``words``, and hand the file to all executors.
 
     Counts are of the whole corpus; what the bound leaves out only takes the slower path. The file goes to the shared
     folder under the hash of its content, and from there Spark copies it to each executor, also to ones that join
     later. Returns the file's name.
     """
     spark = docs.sparkSession
-    top = word_counts(docs, text).orderBy(F.desc("n"), "word").limit(words).collect()
+    top = frequent_words(word_counts(docs, text), words)
     merge = load_merger(tokenizer)
-    blob = compile_lexicon([(bytes(r.word), merge(bytes(r.word))) for r in top])
+    blob = compile_lexicon([(w, merge(w)) for w in top])
     name = f"lexicon-{hashlib.sha256(blob).hexdigest()[:24]}.bin"
     jvm, sc = spark.sparkContext._jvm, spark.sparkContext
     path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}")
