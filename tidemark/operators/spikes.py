@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -9,65 +10,61 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-THRESHOLD, LEVELS, STUCK_MONTHS, STUCK_LEAST = 6.5, 2, 6, 10
+THRESHOLD = 3.5
+#: The least scale of log details: a month is up to 2.25 times, down to a fifth of what its neighbours and season make likely.
+LEAST_UP, LEAST_DOWN = math.log(2.25) / THRESHOLD, math.log(5) / THRESHOLD
+LEAST_COUNT_DEVIATIONS = 3.0
+STUCK_MONTHS, STUCK_LEAST = 6, 10
 
 
-def _median_smooth(y: np.ndarray, reach: int, spare: np.ndarray) -> np.ndarray:
-    """Median of the up to 2*reach neighbours of each point (itself left out, NaN and ``spare`` points too).
-
-    A point with fewer than two such neighbours takes the nearest four there are.
-    """
-    n = len(y)
-    use = np.where(spare, np.nan, y)
-    padded = np.concatenate([np.full(reach, np.nan), use, np.full(reach, np.nan)])
-    near = np.stack([padded[reach + k : reach + k + n] for k in range(-reach, reach + 1) if k])
-    have = (~np.isnan(near)).sum(axis=0)
-    out = np.full(n, np.nan)
-    some = have >= 2
+def _smooth(y: np.ndarray, hole: int, taps: int, spare: np.ndarray) -> np.ndarray:
+    """Median of the points up to ``taps`` times ``hole`` before and after each, itself and ``spare`` ones left out; NaN if none."""
+    n, reach = len(y), hole * taps
+    padded = np.concatenate([np.full(reach, np.nan), np.where(spare, np.nan, y), np.full(reach, np.nan)])
+    near = np.stack([padded[reach + k * hole : reach + k * hole + n] for k in range(-taps, taps + 1) if k])
+    out, some = np.full(n, np.nan), (~np.isnan(near)).any(axis=0)
     if some.any():
         out[some] = np.nanmedian(near[:, some], axis=0)
-    known = np.flatnonzero(~np.isnan(use))
-    for i in np.flatnonzero(~some & ~np.isnan(y)):
-        others = known[known != i]
-        if len(others) >= 2:
-            out[i] = np.median(use[others[np.argsort(np.abs(others - i), kind="stable")[:4]]])
     return out
 
 
-def detail_scores(x: np.ndarray) -> np.ndarray:
+def detail_scores(x: np.ndarray, period: int = 12) -> np.ndarray:
     """Robustly scaled detail coefficients of a dense monthly series (NaN: no count), in standard units.
 
-    Counts are stabilised by 2*sqrt(x + 3/8), where usual scatter has variance one. The wavelet is the multiresolution
-    median transform: level j's detail is what the smooth of reach 2*j leaves. Detail coefficients are divided by
-    their median absolute deviation, at least one; a point scores the least of its levels, so slopes of the season,
-    which only show at one of them, don't count. What is found is left out and the rest transformed again, so
-    a spike neither hides nor marks its neighbours.
+    An undecimated wavelet with holes of one month and of one ``period``, medians in place of means, on log(x + 1):
+    one detail is what the level around a month leaves, the other what its season in other years leaves. A month scores
+    the smaller of the two, 0 if their signs differ: a lasting change of level shows only in the second, a slope of
+    the season only in the first. Scores are details over their median absolute deviation, at least LEAST_UP or
+    LEAST_DOWN; a deviation of fewer than LEAST_COUNT_DEVIATIONS Poisson deviations scores 0 (small counts scatter).
+    What is found is left out and the rest transformed again, so one spike neither hides nor marks another month.
     """
-    y = 2 * np.sqrt(np.where(x >= 0, x, np.nan) + 0.375)
-    out, spare = np.zeros(len(y)), np.zeros(len(y), bool)
+    count = np.where(x >= 0, x, np.nan)
+    y, score, spare = np.log1p(count), np.zeros(len(x)), np.zeros(len(x), bool)
     if np.count_nonzero(~np.isnan(y)) < 6:
-        return out
+        return score
     for _ in range(4):
-        score = np.full(len(y), np.inf)
-        for level in range(1, LEVELS + 1):
-            detail = y - _median_smooth(y, 2 * level, spare)
-            kept = detail[~spare & ~np.isnan(detail)]
-            if not len(kept):
-                return out
-            scale = max(1.0, 1.4826 * float(np.median(np.abs(kept - np.median(kept)))))
-            s = np.nan_to_num(detail / scale)
-            score = np.where(np.abs(s) < np.abs(score), s, score)
-        found = (np.abs(score) > THRESHOLD) & ~spare
-        # Of touching candidates only the largest is taken per turn: the others may be its shadow.
+        near, wide = _smooth(y, 1, 2, spare), _smooth(y, 1, 4, spare)
+        level = np.where(np.isnan(near), wide, near)
+        season = _smooth(y, period, max(1, len(y) // period), spare)
+        by_level, by_season = y - level, y - season
+        by_level, by_season = np.where(np.isnan(by_level), by_season, by_level), np.where(np.isnan(by_season), by_level, by_season)
+        detail = np.where(by_level * by_season > 0, np.where(np.abs(by_level) < np.abs(by_season), by_level, by_season), 0.0)
+        likely = np.expm1(y - detail)
+        deviation = 2 * np.abs(np.sqrt(count + 0.375) - np.sqrt(np.maximum(likely, 0) + 0.375))
+        kept = detail[~spare & ~np.isnan(y)]
+        scale = 1.4826 * float(np.median(np.abs(kept))) if len(kept) else 0.0
+        now = np.nan_to_num(np.where(deviation > LEAST_COUNT_DEVIATIONS, detail / np.maximum(scale, np.where(detail > 0, LEAST_UP, LEAST_DOWN)), 0.0))
+        score = np.where(spare, score, now)
+        found = (np.abs(now) > THRESHOLD) & ~spare
+        # Of touching candidates the largest comes first; the others may be its shadow.
         for i in np.flatnonzero(found):
-            lo, hi = max(0, i - 4), i + 5
-            if np.abs(score[i]) < np.abs(np.where(found[lo:hi], score[lo:hi], 0)).max():
+            around = slice(max(0, i - 2), i + 3)
+            if np.abs(now[i]) < np.abs(np.where(found[around], now[around], 0)).max():
                 found[i] = False
-        out = np.where(spare, out, score)
         if not found.any():
             break
         spare |= found
-    return np.where(spare | (np.abs(out) <= THRESHOLD), out, 0.0)
+    return np.where(spare | (np.abs(score) <= THRESHOLD), score, 0.0)
 
 
 def stuck_runs(x: np.ndarray, months: int = STUCK_MONTHS, least: int = STUCK_LEAST) -> np.ndarray:
