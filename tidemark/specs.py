@@ -11,11 +11,10 @@ PROVENANCE = ("_source_id", "_source_release_timestamp", "_source_archive_sha256
 
 #: Columns every clean fact has, with their types; a source's dimensions and measure follow.
 CLEAN_COMMON = (
-    ("source_id", "string"), ("reference_month", "date"), ("geography", "string"), ("dguid", "string"), ("cma_code", "string"), ("geography_level", "string"),
-    ("unit", "string"), ("unit_id", "int"), ("scalar_factor", "string"), ("scalar_id", "int"), ("vector", "string"), ("coordinate", "string"),
-    ("raw_value", "string"), ("status", "string"), ("symbol", "string"), ("terminated", "string"), ("decimals", "int"),
-    ("is_revised", "boolean"), ("is_preliminary", "boolean"), ("is_terminated", "boolean"), ("is_suppressed", "boolean"), ("is_unavailable", "boolean"),
-    ("is_publishable", "boolean"), ("source_release_timestamp", "timestamp"), ("source_archive_sha256", "string"),
+    ("source_id", "string"), ("reference_month", "date"), ("geography", "string"), ("geography_dguid", "string"), ("geography_level", "string"), ("cma_code", "string"),
+    ("unit", "string"), ("unit_id", "int"), ("scalar_factor", "string"), ("scalar_id", "int"), ("status_code", "string"), ("symbol_code", "string"),
+    ("is_revised", "boolean"), ("is_preliminary", "boolean"), ("is_terminated", "boolean"), ("is_suppressed", "boolean"), ("is_publishable", "boolean"),
+    ("source_vector", "string"), ("source_coordinate", "string"), ("source_decimals", "int"), ("source_release_timestamp", "timestamp_ntz"), ("source_archive_sha256", "string"),
 )
 
 
