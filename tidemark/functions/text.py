@@ -69,7 +69,8 @@ def ref_month(c: Column) -> Column:
     by_number = F.concat(clear, F.lpad(F.regexp_extract(plain, r"-0*([1-9]|1[0-2])$", 1), 2, "0"))
     stems = {stem: f"{i:02d}" for i, some in enumerate(MONTH_STEMS, 1) for stem in some}
     by_name = F.concat(F.regexp_extract(t, r"\b([0-9]{4})\b", 1), F.lit("-"), lookup(F.regexp_extract(t, rf"\b({'|'.join(stems)})\p{{L}}*", 1), stems))
-    return F.coalesce(by_number, F.when(by_name.rlike(r"^[0-9]{4}-"), by_name))
+    usual = F.when(c.rlike(r"^[0-9]{4}-(?:0[1-9]|1[0-2])\z"), c)  # spares most rows the rest
+    return F.coalesce(usual, by_number, F.when(by_name.rlike(r"^[0-9]{4}-"), by_name))
 
 
 def area_code(dguid: Column) -> Column:

@@ -101,12 +101,12 @@ UNIT_MARK = r"(million|milliard|billion|thousand|millier|hundred|centaine|dozen|
 def unit_words(c: Column) -> Column:
     """The unit other than a single one that a text names, else null."""
     mark = F.regexp_replace(F.regexp_extract(F.lower(squeeze(c)), UNIT_MARK, 1), "[x*× ,]", "")
-    return lookup(mark, UNIT_WORDS)
+    return F.when(~c.isin("", "units", "Units"), lookup(mark, UNIT_WORDS))  # the usual texts name none
 
 
 def unit_scale(c: Column) -> Column:
     """The unit of a decimal exponent such as SCALAR_ID; 0, null and unknown exponents name none."""
-    return lookup(F.trim(squeeze(c)).try_cast("int").cast("string"), {str(p): name for name, p in SCALES.items()})
+    return F.when(c != "0", lookup(F.trim(squeeze(c)).try_cast("int").cast("string"), {str(p): name for name, p in SCALES.items()}))
 
 
 NUMBER = r"^([+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+))"
@@ -114,7 +114,7 @@ NUMBER = r"^([+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+))"
 
 def number_text(c: Column) -> Column:
     """VALUE with blanks squeezed and thousands grouping (commas, blanks between digits) removed."""
-    return F.regexp_replace(squeeze(c), r"(?<=[0-9])[, ]+(?=[0-9])", "")
+    return F.when(c.rlike(r"^[0-9]+\z"), c).otherwise(F.regexp_replace(squeeze(c), r"(?<=[0-9])[, ]+(?=[0-9])", ""))
 
 
 def read_units(df: DataFrame, value: str = "VALUE", scalar_id: str = "SCALAR_ID", scalar_factor: str = "SCALAR_FACTOR", uom: str = "UOM") -> DataFrame:

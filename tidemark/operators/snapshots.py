@@ -44,12 +44,12 @@ def _long(value: int) -> Column:
 
 
 def _cells(records: DataFrame, cells: int, seed: int) -> DataFrame:
-    """One table per feed, archive and bucket; cell -1 holds the bucket's digest."""
+    """One table per archive and bucket; cell -1 holds the bucket's digest."""
     part = cells // 3
     places = [F.pmod(F.xxhash64("kh", "vh", _long(seed + i)), _long(part)).cast("int") + i * part for i in range(3)]
     spread = records.withColumn("check", F.xxhash64("kh", "vh", _long(CHECK_SEED))).withColumn("cell", F.explode(F.array(F.lit(-1), *places)))
     digest = F.col("cell") == -1
-    return spread.groupBy("feed", "archive", "bucket", "cell").agg(
+    return spread.groupBy("archive", "bucket", "cell").agg(
         F.count("*").alias("n"),
         F.bit_xor(F.when(digest, F.xxhash64("kh", "vh", _long(DIGEST_SEED))).otherwise(F.col("kh"))).alias("k"),
         F.bit_xor(F.when(digest, _long(0)).otherwise(F.col("vh"))).alias("v"),
@@ -127,7 +127,7 @@ def _peeler(cells: int, seed: int):
 def differing_pairs(records: DataFrame, pairs: DataFrame, first_cells: int = FIRST_CELLS, rounds: int = ROUNDS) -> DataFrame:
     """Pairs (feed, release, bucket, kh, vh, side) in which a release differs from the one before; side 1 is the later.
 
-    records: feed, archive, bucket, kh, vh, distinct within an archive. A bucket that does not peel clean or whose
+    records: archive (which also tells the feed), bucket, kh, vh, distinct within an archive. A bucket that does not peel clean or whose
     digest disagrees is sketched again with four times the cells and new hashes; buckets that resist every round
     (only possible by hash coincidence, for the last table outgrows a bucket) are compared pair by pair.
     """
@@ -137,10 +137,11 @@ def differing_pairs(records: DataFrame, pairs: DataFrame, first_cells: int = FIR
     failed: DataFrame | None = None
     cells = first_cells
     for turn in range(rounds):
-        here, what = records, roles
+        here = records
         if failed is not None:
-            here = records.join(failed.select("feed", "bucket").distinct(), ["feed", "bucket"], "left_semi")
-        tables = _cells(here, cells, 1000 * (turn + 1)).join(what, ["feed", "archive"])
+            again = failed.join(roles, ["feed", "release"]).select("archive", "bucket").distinct()
+            here = records.join(again, ["archive", "bucket"], "left_semi")
+        tables = _cells(here, cells, 1000 * (turn + 1)).join(roles, "archive")
         if failed is not None:
             tables = tables.join(failed, ["feed", "release", "bucket"], "left_semi")
         side = F.col("side")
@@ -159,7 +160,7 @@ def differing_pairs(records: DataFrame, pairs: DataFrame, first_cells: int = FIR
             break
         cells *= GROWTH
     if failed is not None:
-        rest = records.join(roles, ["feed", "archive"]).join(failed, ["feed", "release", "bucket"], "left_semi")
+        rest = records.join(roles, "archive").join(failed, ["feed", "release", "bucket"], "left_semi")
         rest = rest.groupBy("feed", "release", "bucket", "kh", "vh").agg(F.sum("side").cast("int").alias("side")).filter("side != 0")
         done.append(rest.select("feed", "release", "bucket", F.lit(False).alias("failed"), "kh", "vh", "side"))
     out = done[0]
@@ -182,28 +183,36 @@ def snapshot_changes(rows: DataFrame, releases: DataFrame, key: Sequence[str], v
     buckets = (
         archives.join(sizes, "archive", "left")
         .groupBy("feed")
-        .agg(F.greatest(F.lit(1), F.ceil(F.max("rows") / ROWS_PER_BUCKET)).alias("buckets"))
+        .agg(F.greatest(F.lit(1), F.coalesce(F.ceil(F.max("rows") / ROWS_PER_BUCKET), F.lit(1))).alias("buckets"))
     )
-    known = small(cut(archives.join(buckets, "feed")))
-    records = (
-        rows.dropna(subset=["archive", *key])
-        .groupBy("archive", *key)
+    # Archives get short numbers, one each, kept by the checkpoint.
+    known = small(cut(archives.join(buckets, "feed").withColumn("no", F.monotonically_increasing_id())))
+    records = cut(
+        rows.join(known, "archive")
+        .dropna(subset=list(key))
+        .groupBy("no", "buckets", *key)
         .agg(F.max(value).alias("value"))
-        .join(known, "archive")
         .withColumn("kh", F.xxhash64(*key))
         .withColumn("vh", F.xxhash64("kh", F.coalesce(F.col("value").cast("string"), F.lit("-"))))
-        .withColumn("bucket", F.pmod("kh", F.coalesce(F.col("buckets"), F.lit(1))))
+        .withColumn("bucket", F.pmod("kh", "buckets"))
+        .drop("buckets")
     )
-    differing = differing_pairs(records.select("feed", "archive", "bucket", "kh", "vh"), pairs, first_cells, rounds)
+
+    def no_of(df: DataFrame, column: str) -> DataFrame:
+        return df.join(known.select("feed", F.col("archive").alias(column), F.col("no").alias(f"{column}_no")), ["feed", column])
+
+    pairs = no_of(no_of(pairs, "archive"), "before").select("feed", "release", "label", F.col("archive_no").alias("archive"), F.col("before_no").alias("before"))
+    sketched = records.select(F.col("no").alias("archive"), "bucket", "kh", "vh")
+    differing = differing_pairs(sketched, pairs, first_cells, rounds)
     touched = differing.groupBy("feed", "release", "kh").agg(F.max("side").alias("newest"), F.min("side").alias("oldest"))
     looked_up = touched.join(small(pairs), ["feed", "release"]).select(
         "feed", "release", "label", "kh",
         F.explode(F.array_compact(F.array(
-            F.when(F.col("newest") == 1, F.struct(F.lit(True).alias("new"), F.col("archive"))),
-            F.when(F.col("oldest") == -1, F.struct(F.lit(False).alias("new"), F.col("before").alias("archive"))),
+            F.when(F.col("newest") == 1, F.struct(F.lit(True).alias("new"), F.col("archive").alias("no"))),
+            F.when(F.col("oldest") == -1, F.struct(F.lit(False).alias("new"), F.col("before").alias("no"))),
         ))).alias("side"),
-    ).select("feed", "release", "label", "kh", "side.new", "side.archive")
-    full = looked_up.join(records.select("feed", "archive", "kh", *key, "value"), ["feed", "archive", "kh"])
+    ).select("feed", "release", "label", "kh", "side.new", "side.no")
+    full = looked_up.join(records.select("no", "kh", *key, "value"), ["no", "kh"])
     out = full.groupBy("feed", "release", "label", *key).agg(
         F.bool_or("new").alias("in_new"), F.bool_or(~F.col("new")).alias("in_old"),
         F.max(F.when(F.col("new"), F.col("value"))).alias("new_value"), F.max(F.when(~F.col("new"), F.col("value"))).alias("old_value"),

@@ -24,8 +24,9 @@ def releases(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
 def with_area(df: DataFrame, areas: DataFrame) -> DataFrame:
     """Add cma_code: of the DGUID, else of the name; null if neither is known. The areas are a list of bounded, checked size."""
     names = small(areas.select(area_name(F.col("geography")).alias("area_name"), F.col("cma_code").alias("named_code")).dropna().dropDuplicates(["area_name"]))
-    keyed = df.withColumn("area_name", area_name(F.col("GEO")))
-    return keyed.join(names, "area_name", "left").withColumn("cma_code", F.coalesce(area_code(F.col("DGUID")), "named_code")).drop("area_name", "named_code")
+    coded = df.withColumn("cma_code", area_code(F.col("DGUID")))
+    keyed = coded.withColumn("area_name", F.when(F.col("cma_code").isNull(), area_name(F.col("GEO"))))
+    return keyed.join(names, "area_name", "left").withColumn("cma_code", F.coalesce("cma_code", "named_code")).drop("area_name", "named_code")
 
 
 def cube_cells(spark: SparkSession, sf_dir: str, source: str, newest_only: bool) -> DataFrame:
