@@ -119,7 +119,7 @@ def test_widen(spark):
 
 
 # 3
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.integers(-1000, 100000)), min_size=1, max_size=60))
 def test_exact_median(spark, values):
     df = spark.createDataFrame([("l", v) for v in values], "load string, x bigint")
@@ -149,7 +149,7 @@ def test_metric_texts():
 
 
 # 5
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.dictionaries(st.integers(0, 40), st.one_of(st.none(), st.integers(-5, 50)), min_size=1, max_size=25))
 def test_trailing_totals(spark, series):
     rows = [("p", date(2020 + t // 12, t % 12 + 1, 1), v) for t, v in series.items()] * 2

@@ -119,7 +119,7 @@ def implausible_months(df: DataFrame, entity: Sequence[str], time: str, value: s
     )
     # A fixed number of partitions, for AQE would merge what is small in bytes, though the transform is heavy.
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    series = once.groupBy(*entity).agg(F.collect_list(F.struct("t", "v")).alias("points")).repartition(parts, *entity)
+    series = once.groupBy(*entity).agg(F.collect_list(F.struct("t", "v")).alias("points")).repartition(parts, F.xxhash64(*entity))
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = ", ".join(f"`{e}` {fields[e]}" for e in entity) + ", month_no int, flag string, score double"
     flagged = series.mapInArrow(_flag, schema)
