@@ -43,21 +43,27 @@ MEMBERS = {
     "homeowner": "starts_homeowner", "rental": "starts_rental", "condo": "starts_condominium", "condominium": "starts_condominium",
     "coop": "starts_cooperative", "cooperative": "starts_cooperative", "othermarket": "starts_other_market",
 }
+# The publisher's own spellings, looked up before any reading of the label.
+USUAL = {
+    "Total units": "total", "Single-detached units": "single_detached", "Semi-detached units": "semi_detached", "Row units": "row", "Apartment and other unit types": "apartment_and_other",
+    "Housing starts": "housing_starts", "Housing completions": "housing_completions", "Housing under construction": "housing_under_construction",
+    "Homeowner": "starts_homeowner", "Rental": "starts_rental", "Condo": "starts_condominium", "Co-op": "starts_cooperative", "Other market": "starts_other_market",
+}
 
 
 def dwelling_type(c: Column) -> Column:
     """total, single_detached, semi_detached, row, apartment_and_other; others become unmapped_<slug>."""
     key = F.regexp_extract(label(c), rf"^({'|'.join(DWELLINGS)})", 1)
-    return F.coalesce(lookup(key, DWELLINGS), F.concat(F.lit("unmapped_"), slug(c)))
+    return F.coalesce(lookup(c, USUAL), lookup(key, DWELLINGS), F.concat(F.lit("unmapped_"), slug(c)))
 
 
 def measure_column(c: Column) -> Column:
-    return F.coalesce(lookup(F.regexp_extract(label(c), rf"\b({'|'.join(MEASURES)})s?\b", 1), MEASURES), slug(c))
+    return F.coalesce(lookup(c, USUAL), lookup(F.regexp_extract(label(c), rf"\b({'|'.join(MEASURES)})s?\b", 1), MEASURES), slug(c))
 
 
 def member_column(c: Column) -> Column:
     key = F.regexp_extract(label(c), r"^(home ?owner|rental|condo(?:minium)?|co ?op(?:erative)?|other market)s?$", 1)
-    return F.coalesce(lookup(F.replace(key, F.lit(" "), F.lit("")), MEMBERS), F.concat(F.lit("starts_"), slug(c)))
+    return F.coalesce(lookup(c, USUAL), lookup(F.replace(key, F.lit(" "), F.lit("")), MEMBERS), F.concat(F.lit("starts_"), slug(c)))
 
 
 def ref_month(c: Column) -> Column:
