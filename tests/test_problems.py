@@ -244,3 +244,21 @@ def test_spikes(spark):
     got = {(r.c, r.ref_month, r.flag) for r in spikes.implausible_months(df, ["p", "c"], "m", "v", ("rev",)).collect()}
     assert got == {(None, "2020-10", "spike"), ("b", "2020-01", "impossible")}
     assert spikes.implausible_months(df.limit(0), ["p", "c"], "m", "v").count() == 0
+
+
+def test_spikes_beside_a_change_of_level():
+    rng = np.random.default_rng(4)
+    months = np.arange(48)
+    for rise in (2.2, 1 / 2.2):
+        level = 150 * (1 + 0.4 * np.sin(months / 12 * 2 * np.pi)) * np.where(months < 24, 1, rise)
+        x = np.round(level * rng.uniform(0.95, 1.05, 48))
+        assert not np.abs(spikes.detail_scores(x)).max() > spikes.THRESHOLD
+        for at in (3, 9, 16, 20, 28, 33, 40, 45):
+            for times in (3.5, 1 / 8):
+                y = x.copy()
+                y[at] = np.round(y[at] * times)
+                assert np.flatnonzero(np.abs(spikes.detail_scores(y)) > spikes.THRESHOLD).tolist() == [at], (rise, at, times)
+    # The change itself is normal, however large.
+    for at in (10, 17, 24, 31, 38):
+        y = np.where(months < at, x, np.round(6 * x))
+        assert not np.abs(spikes.detail_scores(y)).max() > spikes.THRESHOLD

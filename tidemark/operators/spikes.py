@@ -15,6 +15,14 @@ THRESHOLD = 3.5
 LEAST_UP, LEAST_DOWN = math.log(2.25) / THRESHOLD, math.log(5) / THRESHOLD
 LEAST_COUNT_DEVIATIONS = 3.0
 STUCK_MONTHS, STUCK_LEAST = 6, 10
+#: Months on each side that tell how the level differs between two years.
+LEVEL_REACH = 6
+
+
+def _median(rows: np.ndarray) -> np.ndarray:
+    """Median of each column without its NaNs; NaN if there is nothing else."""
+    known, ordered, at = (~np.isnan(rows)).sum(axis=0), np.sort(rows, axis=0), np.arange(rows.shape[1])
+    return (ordered[np.maximum(known - 1, 0) // 2, at] + ordered[np.minimum(known // 2, len(rows) - 1), at]) / 2
 
 
 def _smooth(y: np.ndarray, hole: int, taps: int, spare: np.ndarray) -> np.ndarray:
@@ -22,20 +30,44 @@ def _smooth(y: np.ndarray, hole: int, taps: int, spare: np.ndarray) -> np.ndarra
     n, reach = len(y), hole * taps
     padded = np.concatenate([np.full(reach, np.nan), np.where(spare, np.nan, y), np.full(reach, np.nan)])
     near = np.stack([padded[reach + k * hole : reach + k * hole + n] for k in range(-taps, taps + 1) if k])
-    out, some = np.full(n, np.nan), (~np.isnan(near)).any(axis=0)
-    if some.any():
-        out[some] = np.nanmedian(near[:, some], axis=0)
-    return out
+    return _median(near)
+
+
+def _season_detail(y: np.ndarray, period: int, spare: np.ndarray, reach: int = LEVEL_REACH) -> np.ndarray:
+    """What the same month of the other years, each moved to the level of this one, leaves of each point; NaN if there is none.
+
+    Two years differ in level by the median difference of the months around that both have, so neither a change of level
+    between them nor a gap or an end counts as a deviation. Where a change lies within ``reach`` months, the months before
+    and those after disagree; if either side accounts for more than half of a detail, the detail is what that side leaves.
+    """
+    n, known = len(y), np.where(spare, np.nan, y)
+    pad, likely = np.full(reach, np.nan), []
+    for h in range(-(n - 1) // period * period, n, period):
+        first, last = max(0, -h), min(n, n - h)
+        if not h or first >= last:
+            continue
+        other = np.full(n, np.nan)
+        other[first:last] = known[first + h : last + h]
+        gaps = np.concatenate([pad, known - other, pad])
+        before, after = (np.stack([gaps[reach + k : reach + k + n] for k in side]) for side in (range(-reach, 0), range(1, reach + 1)))
+        likely.append((other + np.nan_to_num(_median(np.concatenate([before, after]))), other + _median(before), other + _median(after)))
+    if not likely:
+        return np.full(n, np.nan)
+    around, before, after = (y - _median(np.stack(rows)) for rows in zip(*likely, strict=True))
+    before, after = np.where(np.isnan(before), after, before), np.where(np.isnan(after), before, after)
+    least = np.where(before * after > 0, np.where(np.abs(before) < np.abs(after), before, after), 0.0)
+    return np.where(~np.isnan(before) & (np.abs(least) < np.abs(around) / 2), least, around)
 
 
 def detail_scores(x: np.ndarray, period: int = 12) -> np.ndarray:
     """Robustly scaled detail coefficients of a dense monthly series (NaN: no count), in standard units.
 
     An undecimated wavelet with holes of one month and of one ``period``, medians in place of means, on log(x + 1):
-    one detail is what the level around a month leaves, the other what its season in other years leaves. A month scores
-    the smaller of the two, 0 if their signs differ: a lasting change of level shows only in the second, a slope of
-    the season only in the first. Scores are details over their median absolute deviation, at least LEAST_UP or
-    LEAST_DOWN; a deviation of fewer than LEAST_COUNT_DEVIATIONS Poisson deviations scores 0 (small counts scatter).
+    one detail is what the level around a month leaves, the other what its season in other years leaves, these years
+    moved to its level. A month scores the smaller of the two, 0 if their signs differ: a slope of the season shows only
+    in the first, and a lasting change of level neither makes a spike nor hides one. Scores are details over their median
+    absolute deviation, at least LEAST_UP or LEAST_DOWN; a deviation of fewer than LEAST_COUNT_DEVIATIONS Poisson
+    deviations scores 0 (small counts scatter).
     What is found is left out and the rest transformed again, so one spike neither hides nor marks another month.
     """
     count = np.where(x >= 0, x, np.nan)
@@ -45,8 +77,7 @@ def detail_scores(x: np.ndarray, period: int = 12) -> np.ndarray:
     for _ in range(4):
         near, wide = _smooth(y, 1, 2, spare), _smooth(y, 1, 4, spare)
         level = np.where(np.isnan(near), wide, near)
-        season = _smooth(y, period, max(1, len(y) // period), spare)
-        by_level, by_season = y - level, y - season
+        by_level, by_season = y - level, _season_detail(y, period, spare)
         by_level, by_season = np.where(np.isnan(by_level), by_season, by_level), np.where(np.isnan(by_season), by_level, by_season)
         detail = np.where(by_level * by_season > 0, np.where(np.abs(by_level) < np.abs(by_season), by_level, by_season), 0.0)
         likely = np.expm1(y - detail)
