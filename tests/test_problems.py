@@ -262,3 +262,27 @@ def test_spikes_beside_a_change_of_level():
     for at in (10, 17, 24, 31, 38):
         y = np.where(months < at, x, np.round(6 * x))
         assert not np.abs(spikes.detail_scores(y)).max() > spikes.THRESHOLD
+
+
+def test_spikes_by_the_series_own_scatter():
+    months, clean, found = np.arange(48), 0, 0
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        season = 1 + 0.4 * np.sin(months / 12 * 2 * np.pi)
+        quiet, wild = np.round(400 * season * rng.lognormal(0, 0.03, 48)), np.round(400 * season * rng.lognormal(0, 0.2, 48))
+        for x in (quiet, wild):
+            clean += int(np.count_nonzero(np.abs(spikes.detail_scores(x)) > spikes.THRESHOLD))
+        at = int(rng.integers(2, 46))
+        for times in (1.8, 0.5, 0.25):
+            y = quiet.copy()
+            y[at] = np.round(y[at] * times)
+            found += np.flatnonzero(np.abs(spikes.detail_scores(y)) > spikes.THRESHOLD).tolist() == [at]
+            # The same deviation is usual where counts scatter so much.
+            if times > 0.25:
+                z = wild.copy()
+                z[at] = np.round(400 * season[at] * times)
+                clean += int(np.count_nonzero(np.abs(spikes.detail_scores(z)) > spikes.THRESHOLD))
+        y = wild.copy()
+        y[at] = np.round(y[at] / 6)
+        found += bool(np.abs(spikes.detail_scores(y))[at] > spikes.THRESHOLD)
+    assert clean == 0 and found >= 76, (clean, found)

@@ -10,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-THRESHOLD = 3.5
-#: The least scale of log details: a month is up to 2.25 times, down to a fifth of what its neighbours and season make likely.
-LEAST_UP, LEAST_DOWN = math.log(2.25) / THRESHOLD, math.log(5) / THRESHOLD
+THRESHOLD = 6.0
+#: The greatest scale of log details: however a series scatters, more than 2.25 times or less than 1 / 2.5 of what is likely is a spike.
+MOST_UP, MOST_DOWN = math.log(2.25) / THRESHOLD, math.log(2.5) / THRESHOLD
 LEAST_COUNT_DEVIATIONS = 3.0
 STUCK_MONTHS, STUCK_LEAST = 6, 10
 #: Months on each side that tell how the level differs between two years.
@@ -33,12 +33,13 @@ def _smooth(y: np.ndarray, hole: int, taps: int, spare: np.ndarray) -> np.ndarra
     return _median(near)
 
 
-def _season_detail(y: np.ndarray, period: int, spare: np.ndarray, reach: int = LEVEL_REACH) -> np.ndarray:
+def _season_detail(y: np.ndarray, period: int, spare: np.ndarray, reach: int = LEVEL_REACH) -> tuple[np.ndarray, np.ndarray]:
     """What the same month of the other years, each moved to the level of this one, leaves of each point; NaN if there is none.
 
     Two years differ in level by the median difference of the months around that both have, so neither a change of level
     between them nor a gap or an end counts as a deviation. Where a change lies within ``reach`` months, the months before
-    and those after disagree; if either side accounts for more than half of a detail, the detail is what that side leaves.
+    and those after disagree; if either side accounts for more than half of a detail, the detail is what that side leaves. Also returned is what
+    both sides together leave, from which the scatter is taken.
     """
     n, known = len(y), np.where(spare, np.nan, y)
     pad, likely = np.full(reach, np.nan), []
@@ -52,11 +53,11 @@ def _season_detail(y: np.ndarray, period: int, spare: np.ndarray, reach: int = L
         before, after = (np.stack([gaps[reach + k : reach + k + n] for k in side]) for side in (range(-reach, 0), range(1, reach + 1)))
         likely.append((other + np.nan_to_num(_median(np.concatenate([before, after]))), other + _median(before), other + _median(after)))
     if not likely:
-        return np.full(n, np.nan)
+        return np.full(n, np.nan), np.full(n, np.nan)
     around, before, after = (y - _median(np.stack(rows)) for rows in zip(*likely, strict=True))
     before, after = np.where(np.isnan(before), after, before), np.where(np.isnan(after), before, after)
     least = np.where(before * after > 0, np.where(np.abs(before) < np.abs(after), before, after), 0.0)
-    return np.where(~np.isnan(before) & (np.abs(least) < np.abs(around) / 2), least, around)
+    return np.where(~np.isnan(before) & (np.abs(least) < np.abs(around) / 2), least, around), around
 
 
 def detail_scores(x: np.ndarray, period: int = 12) -> np.ndarray:
@@ -65,9 +66,10 @@ def detail_scores(x: np.ndarray, period: int = 12) -> np.ndarray:
     An undecimated wavelet with holes of one month and of one ``period``, medians in place of means, on log(x + 1):
     one detail is what the level around a month leaves, the other what its season in other years leaves, these years
     moved to its level. A month scores the smaller of the two, 0 if their signs differ: a slope of the season shows only
-    in the first, and a lasting change of level neither makes a spike nor hides one. Scores are details over their median
-    absolute deviation, at least LEAST_UP or LEAST_DOWN; a deviation of fewer than LEAST_COUNT_DEVIATIONS Poisson
-    deviations scores 0 (small counts scatter).
+    in the first, and a lasting change of level neither makes a spike nor hides one. Scores are details over the median
+    absolute deviation of the series' own season details (the smaller of two has next to none of its own), at least the
+    Poisson deviation of the likely count, at most MOST_UP or MOST_DOWN, which alone count where fewer than ``period``
+    months have a season; a deviation of fewer than LEAST_COUNT_DEVIATIONS Poisson deviations scores 0 (small counts scatter).
     What is found is left out and the rest transformed again, so one spike neither hides nor marks another month.
     """
     count = np.where(x >= 0, x, np.nan)
@@ -77,14 +79,15 @@ def detail_scores(x: np.ndarray, period: int = 12) -> np.ndarray:
     for _ in range(4):
         near, wide = _smooth(y, 1, 2, spare), _smooth(y, 1, 4, spare)
         level = np.where(np.isnan(near), wide, near)
-        by_level, by_season = y - level, _season_detail(y, period, spare)
+        by_level, (by_season, scatter) = y - level, _season_detail(y, period, spare)
         by_level, by_season = np.where(np.isnan(by_level), by_season, by_level), np.where(np.isnan(by_season), by_level, by_season)
         detail = np.where(by_level * by_season > 0, np.where(np.abs(by_level) < np.abs(by_season), by_level, by_season), 0.0)
         likely = np.expm1(y - detail)
         deviation = 2 * np.abs(np.sqrt(count + 0.375) - np.sqrt(np.maximum(likely, 0) + 0.375))
-        kept = detail[~spare & ~np.isnan(y)]
-        scale = 1.4826 * float(np.median(np.abs(kept))) if len(kept) else 0.0
-        now = np.nan_to_num(np.where(deviation > LEAST_COUNT_DEVIATIONS, detail / np.maximum(scale, np.where(detail > 0, LEAST_UP, LEAST_DOWN)), 0.0))
+        kept = scatter[~spare & ~np.isnan(scatter)]
+        own = 1.4826 * float(np.median(np.abs(kept))) if len(kept) >= period else math.inf
+        scale = np.minimum(np.where(detail > 0, MOST_UP, MOST_DOWN), np.maximum(own, 1 / np.sqrt(np.maximum(likely, 0) + 1)))
+        now = np.nan_to_num(np.where(deviation > LEAST_COUNT_DEVIATIONS, detail / scale, 0.0))
         score = np.where(spare, score, now)
         found = (np.abs(now) > THRESHOLD) & ~spare
         # Of touching candidates the largest comes first; the others may be its shadow.
