@@ -142,6 +142,29 @@ def test_profile_and_drift(spark):
     assert profile.column_profile(df.limit(0), "load", ["n"], [], ["n"]).count() == 0
 
 
+def brute_shift(old, new):
+    if len(set(old) | set(new)) - (None in {*old, *new}) > 20:
+        full = sorted(v for v in old if v is not None)
+        edges = sorted({full[-(-k * len(full) // 10) - 1] for k in range(1, 10)}) if full else []
+        old, new = ([None if v is None else sum(e < v for e in edges) for v in vs] for vs in (old, new))
+    share = lambda vs, c: max(vs.count(c) / len(vs), 1e-4)
+    pairs = [(share(old, c), share(new, c), new.count(c)) for c in {*old, *new}]
+    return sum((p1 - p0) * np.log(p1 / p0) for p0, p1, _ in pairs), sum((n - p0 * len(new)) ** 2 / (p0 * len(new)) for p0, _, n in pairs)
+
+
+def test_shift_within_a_power_of_two(spark):
+    rng = np.random.default_rng(7)
+    old = {"index": (99 + 6 * rng.random(300)).round(1), "year": rng.integers(2021, 2023, 300), "same": rng.integers(-50, 50, 300), "ties": rng.choice([0, 0, 0, 5, *range(40)], 300), "new": np.full(300, np.nan)}
+    new = {"index": (101 + 9 * rng.random(300)).round(1), "year": rng.integers(2021, 2024, 300), "same": rng.permutation(old["same"]), "ties": rng.choice([0, 5, 5, *range(60)], 300), "new": np.arange(300)}
+    rows = [(load, *(None if np.isnan(data[c][i]) or (i % 50 == 0 and c == "index") else float(data[c][i]) for c in old)) for load, data in (("l1", old), ("l2", new)) for i in range(300)]
+    df = spark.createDataFrame(rows, "load string, " + ", ".join(f"`{c}` double" for c in old))
+    before = spark.createDataFrame([("l2", "l1")], "load string, before string")
+    got = {r.column_name: (r.psi, r.chi_square) for r in profile.population_shift(profile.value_counts(df, "load", list(old)), before, list(old)).collect()}
+    for i, c in enumerate(old):
+        assert got[c] == pytest.approx(brute_shift(*([r[i + 1] for r in rows if r[0] == load] for load in ("l1", "l2"))), abs=1e-3), c
+    assert got["same"] == (0, 0) and min(got["index"][0], got["year"][0]) > 0.25
+
+
 def test_metric_texts():
     read = problems._metric_pairs
     assert read('{"ROW_COUNT": 5}') == {"row_count": "5"} and read('{"metrics": {"row_count": "5"}}') == {"row_count": "5"} and read('[{"name": "row_count", "value": 7}]') == {"row_count": "7"}

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RADIX = 200  # logarithmic steps per power of e in the first stage of the median
+RADIX = 200  # logarithmic steps per power of e in the first stage of the median and of quantiles
+CLASSES, FEW_VALUES = 10, 20  # classes of a number in a comparison of loads; so many values are a class each
 
 
 def value_counts(df: DataFrame, load: str, columns: Sequence[str]) -> DataFrame:
@@ -91,21 +92,49 @@ def profile_counts(counts: DataFrame, contract: Sequence[tuple], numeric: Sequen
     return out
 
 
+def quantile_edges(values: DataFrame, parts: int = CLASSES) -> DataFrame:
+    """(load, column_name, edges): the inner quantiles of finite numbers x that occur n times, each a value, rising, repeats once.
+
+    The k-th edge is the least value that at least k of ``parts`` shares of the numbers do not exceed. Two stages keep
+    every window small, as in exact_medians.
+    """
+    keys = ["load", "column_name"]
+    values = values.withColumn("b", (F.signum("x") * F.floor(F.log1p(F.abs("x")) * RADIX)).cast("int"))
+
+    def passes_edge(upto: str, n: str) -> Column:
+        return F.expr(f"least({parts - 1}, {parts} * {upto} div total) > {parts} * ({upto} - {n}) div total")
+
+    buckets = values.groupBy(*keys, "b").agg(F.sum("n").alias("bn"))
+    buckets = buckets.withColumns({"upto": F.sum("bn").over(Window.partitionBy(*keys).orderBy("b")), "total": F.sum("bn").over(Window.partitionBy(*keys))})
+    near = values.join(buckets.filter(passes_edge("upto", "bn")).select(*keys, "b", (F.col("upto") - F.col("bn")).alias("below"), "total"), [*keys, "b"])
+    near = near.withColumn("r", F.col("below") + F.sum("n").over(Window.partitionBy(*keys, "b").orderBy("x")))
+    return near.filter(passes_edge("r", "n")).groupBy(*keys).agg(F.array_sort(F.collect_set("x")).alias("edges"))
+
+
 def population_shift(counts: DataFrame, before: DataFrame, numeric: Sequence[str], floor: float = 1e-4) -> DataFrame:
     """(load, column_name, psi, chi_square): how each column's distribution moved since the load before it.
 
-    Classes are the values themselves; numbers are classed by sign and power of two, dates and times by month, so
-    that classes are few. Nulls are a class. An empty class counts as ``floor`` of the rows, as is usual for the
-    population stability index; chi-square compares with the counts expected at the earlier shares.
+    Classes are the values themselves, dates and times are classed by month. Numbers with more than FEW_VALUES values in
+    the two loads are classed by the exact deciles of the earlier load, open at both ends. Nulls are a class. An empty
+    class counts as ``floor`` of the rows, as is usual for the population stability index; chi-square compares with the
+    counts expected at the earlier shares.
     """
-    x = F.col("value").cast("double")
-    binned = F.when(F.col("column_name").isin(*numeric), F.when(F.col("value").isNotNull(), F.concat(F.signum(x).cast("int").cast("string"), F.lit("e"), F.floor(F.log2(F.abs(x) + 1)).cast("string"))))
+    keys = ["load", "column_name"]
+    x = F.when(F.col("column_name").isin(*numeric), F.col("value").cast("double") + 0.0)
+    counts = counts.withColumn("x", F.when(F.abs(x) < float("inf"), x))
+    edges = quantile_edges(counts.filter("x is not null")).withColumnRenamed("load", "before")
+    pairs, cell = before.select("load", "before").dropna(), ["load", "before", "column_name", "value", "x"]
+    now = pairs.join(counts, "load").select(*cell, F.col("n").alias("n1"), F.lit(0).cast("bigint").alias("n0"))
+    old = pairs.join(counts.withColumnRenamed("load", "before"), "before").select(*cell, F.lit(0).cast("bigint").alias("n1"), F.col("n").alias("n0"))
+    values = now.unionByName(old)
+    many = values.filter("x is not null").select(*keys, "x").distinct().groupBy(*keys).agg(F.count("x").alias("numbers")).filter(F.col("numbers") > FEW_VALUES)
+    values = values.join(many, keys, "left").join(edges, ["before", "column_name"], "left")
+    # A column without numbers in the earlier load has no deciles: all its numbers are new, and one class.
+    by_decile = F.when(F.col("numbers").isNotNull(), F.concat(F.lit("q"), F.coalesce(F.size(F.filter("edges", lambda e: e < F.col("x"))), F.lit(0)).cast("string")))
+    binned = F.when(F.col("x").isNotNull(), F.coalesce(by_decile, F.col("x").cast("string")))
     by_month = F.when(F.col("value").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.substring("value", 1, 7))
     klass = F.coalesce(binned, by_month, F.col("value"), F.lit("\u0000"))
-    classes = counts.groupBy("load", "column_name", klass.alias("klass")).agg(F.sum("n").alias("n"))
-    now = before.join(classes, "load").select("load", "column_name", "klass", F.col("n").alias("n1"), F.lit(0).cast("bigint").alias("n0"))
-    old = before.select("load", "before").join(classes.withColumnRenamed("load", "before"), "before").select("load", "column_name", "klass", F.lit(0).cast("bigint").alias("n1"), F.col("n").alias("n0"))
-    both = now.unionByName(old).groupBy("load", "column_name", "klass").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    both = values.groupBy(*keys, klass.alias("klass")).agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     totals = both.groupBy("load", "column_name").agg(F.sum("n1").alias("t1"), F.sum("n0").alias("t0"))
     p = both.join(totals, ["load", "column_name"]).withColumns({"p1": F.greatest(F.col("n1") / F.col("t1"), F.lit(floor)), "p0": F.greatest(F.col("n0") / F.col("t0"), F.lit(floor))})
     expected = F.col("p0") * F.col("t1")

@@ -149,7 +149,7 @@ def p3_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = read(spark, sf_dir, FACT)
     numeric = [f.name for f in fact.schema.fields if isinstance(f.dataType, T.NumericType)]
     loads = attempts(spark, sf_dir).join(fact.select(F.col(LOAD).alias("load")).distinct(), "load")
-    counts = profile.value_counts(fact, LOAD, [c for c in fact.columns if c != LOAD])
+    counts = cut(profile.value_counts(fact, LOAD, [c for c in fact.columns if c != LOAD]))
     return profile.population_shift(counts, profile.preceding_loads(loads).select("load", "before").dropna(), numeric).withColumnRenamed("load", "load_batch_id")
 
 
