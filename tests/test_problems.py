@@ -118,6 +118,16 @@ def test_widen(spark):
     assert widen.attribute_names(df) == ["a", "b", "c", "d"] and widen.widen(df.limit(0), ["e"], ["a"]).count() == 0
 
 
+def test_wide_activity_keeps_other_measures(spark, monkeypatch):
+    key = ("a", "f", "2024-01", "417", "row")
+    rows = [(*key, "housing_starts", 5, "5"), (*key, "housing_demolitions", 7, "7"), (*key, None, 1, "1")]
+    cells = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in problems.ENTITY) + ", column_name string, quantity bigint, value_text string")
+    monkeypatch.setattr(problems, "cube_cells", lambda *_, **__: cells)
+    wide = problems.p2_wide_activity(spark, "")
+    assert wide.columns == [*problems.ENTITY, *problems.MEASURES, "housing_demolitions", "failures"]
+    assert [(r.housing_starts, r.housing_completions, r.housing_demolitions) for r in wide.collect()] == [(5, None, 7)]
+
+
 # 3
 @settings(max_examples=6, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.integers(-1000, 100000)), min_size=1, max_size=60))

@@ -37,7 +37,9 @@ MEMBERS = ("starts_homeowner", "starts_rental", "starts_condominium", "starts_co
 
 
 def p2_wide_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return widen.widen(cube_cells(spark, sf_dir, ACTIVITY, newest_only=True), ENTITY, MEASURES)
+    cells = cube_cells(spark, sf_dir, ACTIVITY, newest_only=True)
+    names = widen.attribute_names(cells)
+    return widen.widen(cells, ENTITY, [*MEASURES, *(n for n in names if n not in MEASURES)])
 
 
 def p2_wide_market(spark: SparkSession, sf_dir: str) -> DataFrame:
