@@ -98,10 +98,13 @@ UNIT_WORDS = {
 UNIT_MARK = r"(million|milliard|billion|thousand|millier|hundred|centaine|dozen|douzaine|pair|\bten|dizaine|(?<![0-9])000|\bk\b|[x*×] ?1[ ,]?000\b|[x*×] ?100?\b)"
 
 
+NO_UNIT = ("", "units", "Units")  # the usual texts name none
+
+
 def unit_words(c: Column) -> Column:
     """The unit other than a single one that a text names, else null."""
     mark = F.regexp_replace(F.regexp_extract(F.lower(squeeze(c)), UNIT_MARK, 1), "[x*× ,]", "")
-    return F.when(~c.isin("", "units", "Units"), lookup(mark, UNIT_WORDS))  # the usual texts name none
+    return F.when(~c.isin(*NO_UNIT), lookup(mark, UNIT_WORDS))
 
 
 def unit_scale(c: Column) -> Column:
@@ -124,15 +127,20 @@ def read_units(df: DataFrame, value: str = "VALUE", scalar_id: str = "SCALAR_ID"
     nothing stated is 'unit'. A pack and a power of ten together are their product ('dozen*thousand'). Two different
     powers, or two packs, contradict each other: the name joined by '|' is in no graph, so such a row gets no quantity.
     """
-    t, said = F.col("_text"), F.col("_said")
-    numbered = df.withColumn("_text", number_text(F.col(value))).withColumn("_number", F.nullif(F.regexp_extract(t, NUMBER, 1), F.lit("")))
+    raw, t, said, plain_row = F.col(value), F.col("_text"), F.col("_said"), F.col("_plain")
+    # Most rows hold bare digits and state no unit anywhere; they are told apart first and spared all reading.
+    silent = [F.coalesce(F.col(c).isin(*names), F.lit(True)) for c, names in ((scalar_id, ("0", "")), (scalar_factor, NO_UNIT), (uom, NO_UNIT))]
+    known = df.withColumn("_plain", F.coalesce(raw.rlike(r"^[0-9]{1,18}\z"), F.lit(False)) & silent[0] & silent[1] & silent[2])
+    numbered = known.withColumn("_text", F.when(~plain_row, number_text(raw))).withColumn("_number", F.nullif(F.regexp_extract(t, NUMBER, 1), F.lit("")))
     rest = F.regexp_replace(t, NUMBER, "")
     stated = F.array(unit_scale(F.col(scalar_id)), unit_words(F.col(scalar_factor)), unit_words(F.col(uom)), unit_words(rest))
-    listed = numbered.withColumn("_said", F.array_sort(F.array_distinct(F.array_compact(stated)))).withColumn("_packs", F.array_intersect(said, F.array(*map(F.lit, PACKS))))
+    listed = numbered.withColumn("_said", F.when(~plain_row, F.array_sort(F.array_distinct(F.array_compact(stated)))))
     one = (
-        F.when(F.size(said) == 0, F.lit("unit"))
-        .when((F.size(said) == 2) & (F.size("_packs") == 1), F.concat_ws("*", "_packs", F.array_except(said, "_packs")))
+        F.when(plain_row | (F.size(said) == 0), F.lit("unit"))
+        .when(F.size(said) == 1, said[0])
+        .when((F.size(said) == 2) & (F.size(F.array_intersect(said, packs := F.array(*map(F.lit, PACKS)))) == 1), F.concat_ws("*", F.array_intersect(said, packs), F.array_except(said, packs)))
         .otherwise(F.array_join(said, "|"))
     )
     plain = ~t.rlike(NUMBER + r"[eE][+-]?[0-9]")
-    return listed.withColumns({"value_number": F.when(plain, F.col("_number").try_cast("decimal(24,6)")), "source_unit": one}).drop("_text", "_number", "_said", "_packs")
+    number = F.when(plain_row, raw.cast("decimal(24,6)")).when(plain, F.col("_number").try_cast("decimal(24,6)"))
+    return listed.withColumns({"value_number": number, "source_unit": one}).drop("_plain", "_text", "_number", "_said")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.units import UnitGraph, dwelling_units, read_units
 
+STATING = ("VALUE", "SCALAR_ID", "SCALAR_FACTOR", "UOM")
+
 
 def to_common_unit(df: DataFrame, graph: UnitGraph, target: str) -> DataFrame:
     """Add unit_factor, unit_offset and quantity = value_number * factor + offset, in ``target``, by source_unit.

@@ -21,9 +21,11 @@ LOAD, PROFILE = "source_load_batch_id", "source_validation_profile"
 
 # 1
 def p1_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = units.dwelling_quantity(read(spark, sf_dir, ACTIVITY))
-    rows = raw.select(F.col("_source_archive_sha256").alias("archive"), F.trim("VECTOR").alias("vector"), ref_month(F.col("REF_DATE")).alias("ref_month"), "quantity")
-    return snapshots.snapshot_changes(rows, releases(spark, sf_dir, ACTIVITY), ["vector", "ref_month"])
+    cube = read(spark, sf_dir, ACTIVITY)
+    archive = F.col("_source_archive_sha256").alias("archive")
+    rows = cube.select(archive, F.trim("VECTOR").alias("vector"), ref_month(F.col("REF_DATE")).alias("ref_month"), *units.STATING)
+    sizes = cube.groupBy(archive).agg(F.count("*").alias("rows"))
+    return snapshots.snapshot_changes(rows, releases(spark, sf_dir, ACTIVITY), ["vector", "ref_month"], measure=units.dwelling_quantity, sizes=sizes)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
