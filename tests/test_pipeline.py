@@ -116,7 +116,12 @@ def test_gates(spark, fact):
     assert failed(fact.withColumn("dwelling_type", F.when(F.col("dwelling_type") != "row", F.col("dwelling_type")))) >= {"key_nulls", "dwelling_completeness", "component_reconciliation"}
     assert failed(fact.withColumn("dwelling_type", F.lit("igloo"))) >= {"dwelling_domain", "duplicate_keys"}
     assert failed(fact.withColumn("housing_starts", F.lit(None).cast("bigint"))) >= {"null_threshold", "market_reconciliation"}
-    assert failed(fact.drop("cma_code")) == {"schema"} and failed(fact.limit(0)) == {"row_count", "market_reconciliation"}
+    assert failed(fact.drop("cma_code")) == {"schema"} and failed(fact.limit(0)) == {"row_count"}
+    assert failed(fact.drop("geography")) == {"schema"} and failed(fact.withColumn("housing_starts", F.col("housing_starts").cast("int"))) == {"schema"}
+    # A column that only the policy names must be there too, or the gate is closed.
+    for policy in (replace(POLICY, keys=(*POLICY.keys, "nowhere")), replace(POLICY, null_thresholds={"nowhere": 1.0})):
+        assert failed(fact, policy) == {"schema"}
+    assert not failed(fact.withColumn("extra", F.lit(1)), replace(POLICY, null_thresholds={"extra": 0.0}))
     written = []
     with pytest.raises(QualityError) as error:
         publish.validate_then_write(fact, replace(POLICY, max_rows=64, min_rows=64), written.append)

@@ -122,7 +122,7 @@ def aggregate(spark, clean: dict, policy, args: argparse.Namespace, settings: Se
         else:
             target = str(args.output or settings.output / "housing_monthly")
             report = publish.validate_then_write(fact, policy, lambda f: publish.write_fact(f, target))
-            print(f"wrote {report.metrics['row_count']} rows, {report.metrics['anomaly_rows']} anomalies, to {target}")
+            print(f"wrote {report.metrics['row_count']} rows, {report.metrics['anomalies']} anomalies, to {target}")
     finally:
         fact.unpersist()
 

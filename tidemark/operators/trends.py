@@ -1,39 +1,53 @@
-"""Gap-gated features of monthly series: every window shares one exchange and one sort."""
+"""Features of monthly series over frames of calendar months, so a gap is simply a month without a row."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.specs import TrendSpec
 
 
+class Calendar:
+    """Aggregates over the months from ``first`` to ``last`` relative to a row's own; all frames share one exchange and one sort."""
+
+    def __init__(self, keys: tuple[str, ...], month: str) -> None:
+        self.series = Window.partitionBy(*keys).orderBy(F.year(month) * 12 + F.month(month))
+
+    def over(self, first: int, last: int, aggregate: Column) -> Column:
+        return aggregate.over(self.series.rangeBetween(first, last))
+
+    def full(self, first: int, last: int, what: Column) -> Column:
+        """Whether every month of the frame has ``what``."""
+        return self.over(first, last, F.count(what)) == last - first + 1
+
+
 def trends(df: DataFrame, spec: TrendSpec = TrendSpec()) -> DataFrame:
     """Add trailing average, year change, month change of the stock, baseline, z-score and anomaly flag.
 
-    Frames count rows, gates check the calendar: a feature is null unless its months are all there with a value.
-    Assumes one row per key and month. The z-score comes from unrounded figures and the flag from the rounded score;
-    the flag is null where there is no score.
+    Assumes one row per key and month. A feature is null unless all months it looks at are there: those of an average
+    with a value, those of a year change as rows. The z-score comes from unrounded figures, the flag from the rounded
+    score; without a score there is no flag. An empty table gives none.
     """
-    m, v, stock = F.col(spec.month), F.col(spec.flow), F.col(spec.stock)
-    w = Window.partitionBy(*spec.keys).orderBy(spec.month)
-    near, base = w.rowsBetween(1 - spec.trailing, 0), w.rowsBetween(-spec.baseline, -1)
-    framed = df.withColumns({
-        "_n_near": F.count(v).over(near), "_first_near": F.min(m).over(near), "_avg_near": F.avg(v).over(near),
-        "_m_prev": F.lag(m, 1).over(w), "_stock_prev": F.lag(stock, 1).over(w), "_m_year": F.lag(m, 12).over(w), "_v_year": F.lag(v, 12).over(w),
-        "_n_base": F.count(v).over(base), "_lo_base": F.min(m).over(base), "_hi_base": F.max(m).over(base), "_avg_base": F.avg(v).over(base), "_sd_base": F.stddev_samp(v).over(base),
-    })
-    near_ok = (F.col("_n_near") == spec.trailing) & (F.col("_first_near") == F.add_months(m, 1 - spec.trailing))
-    year_ok = (F.col("_m_year") == F.add_months(m, -12)) & (F.col("_v_year") != 0)
-    base_ok = (F.col("_n_base") == spec.baseline) & (F.col("_lo_base") == F.add_months(m, -spec.baseline)) & (F.col("_hi_base") == F.add_months(m, -1))
-    has, p, n = f"has_{spec.baseline}_month_anomaly_baseline", spec.prefix, spec.baseline
-    gated = framed.withColumn(has, base_ok).withColumns({
-        f"{p}_{spec.trailing}_month_average": F.when(near_ok, F.round("_avg_near", 4)),
-        f"{p}_year_over_year_pct": F.when(year_ok, F.round((v - F.col("_v_year")) / F.nullif(F.col("_v_year"), F.lit(0)) * 100, 4)),
-        "under_construction_month_change": F.when(F.col("_m_prev") == F.add_months(m, -1), stock - F.col("_stock_prev")),
-        f"{p}_prior_{n}_month_average": F.when(F.col(has), F.round("_avg_base", 4)),
-        f"{p}_prior_{n}_month_stddev": F.when(F.col(has), F.round("_sd_base", 4)),
-        f"{p}_anomaly_zscore": F.when(F.col(has) & (F.col("_sd_base") > 0), F.round((v - F.col("_avg_base")) / F.nullif(F.col("_sd_base"), F.lit(0.0)), 4)),
-    })
-    flagged = gated.withColumn(f"{p}_anomaly_flag", F.abs(f"{p}_anomaly_zscore") >= spec.threshold)
-    return flagged.drop(*(c for c in flagged.columns if c.startswith("_") and c not in df.columns))
+    months, flow, stock = Calendar(spec.keys, spec.month), F.col(spec.flow), F.col(spec.stock)
+    year, base = (-12, -1), (-spec.baseline, -1)
+    earlier = F.when(months.full(*year, F.lit(1)), months.over(-12, -12, F.max(flow)))
+    mean, spread = (months.over(*base, f(flow)) for f in (F.avg, F.stddev_samp))
+    based = months.full(*base, flow)
+
+    def known(condition: Column, value: Column) -> Column:
+        return F.when(condition, F.round(value, 4))
+
+    p, n = spec.prefix, spec.baseline
+    score, flag = f"{p}_anomaly_zscore", f"{p}_anomaly_flag"
+    near = (1 - spec.trailing, 0)
+    features = {
+        f"{p}_{spec.trailing}_month_average": known(months.full(*near, flow), months.over(*near, F.avg(flow))),
+        f"{p}_year_over_year_pct": known(earlier != 0, (flow - earlier) / F.nullif(earlier, F.lit(0)) * 100),
+        "under_construction_month_change": stock - months.over(-1, -1, F.max(stock)),
+        f"has_{n}_month_anomaly_baseline": based,
+        f"{p}_prior_{n}_month_average": known(based, mean),
+        f"{p}_prior_{n}_month_stddev": known(based, spread),
+        score: known(based & (spread > 0), (flow - mean) / F.nullif(spread, F.lit(0.0))),
+    }
+    return df.withColumns(features).withColumn(flag, F.abs(score) >= spec.threshold)

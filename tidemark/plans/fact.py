@@ -1,4 +1,4 @@
-"""The monthly fact's columns: a fixed contract of names in order."""
+"""The monthly fact's columns: a fixed contract of names and types in order."""
 
 # The 45 columns of the monthly fact in contract order.
 FACT_COLUMNS = (
@@ -14,3 +14,29 @@ _OTHER = ("_timestamp", "_sha256")
 NUMERIC_COLUMNS = tuple(
     c for c in FACT_COLUMNS if not c.startswith("has_") and not c.endswith(_OTHER) and c not in ("reference_month", "cma_code", "dwelling_type", "geography", "starts_anomaly_flag")
 )
+
+# Types of the fact's columns; what is not listed is a count.
+_DECIMALS = {"new_housing_price_index": "decimal(18,4)", "new_house_price_index": "decimal(18,4)", "new_land_price_index": "decimal(18,4)", "residential_permit_value_dollars": "decimal(24,4)"}
+_DOUBLES = (
+    "completion_to_start_ratio", "starts_3_month_average", "starts_year_over_year_pct", "starts_prior_12_month_average", "starts_prior_12_month_stddev", "starts_anomaly_zscore",
+)
+_TEXTS = ("cma_code", "dwelling_type", "geography")
+
+
+def _type(column: str) -> str:
+    if column in _DECIMALS:
+        return _DECIMALS[column]
+    if column in _DOUBLES:
+        return "double"
+    if column in _TEXTS or column.endswith("_sha256"):
+        return "string"
+    if column.startswith("has_") or column.endswith("_flag"):
+        return "boolean"
+    return {"reference_month": "date", "reference_year": "int"}.get(column, "timestamp_ntz" if column.endswith("_timestamp") else "bigint")
+
+
+FACT_TYPES = {c: _type(c) for c in FACT_COLUMNS}
+# Columns that published rows carry beside the fact's.
+LOAD_TYPES = {"source_load_batch_id": "string", "source_validation_profile": "string", "created_at_utc": "timestamp_ntz", "updated_at_utc": "timestamp_ntz"}
+FACT_DDL = ", ".join(f"{c} {t}{' not null' if c in ('reference_month', *_TEXTS, 'reference_year') or (t == 'boolean' and c != 'starts_anomaly_flag') else ''}" for c, t in FACT_TYPES.items())
+PUBLISHED_DDL = FACT_DDL + ", " + ", ".join(f"{c} {t} not null" for c, t in LOAD_TYPES.items())

@@ -234,28 +234,28 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quality_base_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.base_metrics(_fact(spark, sf_dir), POLICY)
+    return quality.row_metrics(_fact(spark, sf_dir), POLICY)
 
 
 @query
 def quality_empty_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.base_metrics(_fact(spark, sf_dir).filter("1 = 0"), POLICY)
+    return quality.row_metrics(_fact(spark, sf_dir).filter("1 = 0"), POLICY)
 
 
 @query
 def quality_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.duplicate_rows(_fact(spark, sf_dir), ("source_validation_profile", *POLICY.keys))
+    return quality.repeats(_fact(spark, sf_dir), ("source_validation_profile", *POLICY.keys))
 
 
 @query
 def quality_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.incomplete_groups(_fact(spark, sf_dir), POLICY)
+    return quality.place_metrics(_fact(spark, sf_dir), POLICY).select("places_incomplete", "places_incomplete_compared")
 
 
 @query
 def quality_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Total against components in the fact built from the cubes, where each key has one row."""
-    return quality.component_reconciliation(pivot_activity(spark, sf_dir), POLICY)
+    return quality.place_metrics(pivot_activity(spark, sf_dir), POLICY).select("components_off", "components_off_compared")
 
 
 # Publication.

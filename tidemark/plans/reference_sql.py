@@ -83,20 +83,18 @@ _RATIO = "case when housing_starts > 0 then round(housing_completions / housing_
 _KEYS = "reference_month, cma_code, dwelling_type"
 
 
-def _trend(source: str, keys: str, columns: str, extra: str = "") -> str:
-    w = f"partition by {keys} order by reference_month"
-    back = "cast(reference_month - interval {} month as date)"
-    return f"""select {extra}{columns} from (select *,
- case when n3 = 3 and lo3 = {back.format(2)} then round(a3, 4) end as starts_3_month_average,
- case when my = {back.format(12)} and vy <> 0 then round((housing_starts - vy) / vy::double * 100, 4) end as starts_year_over_year_pct,
- case when mp = {back.format(1)} then housing_under_construction - up end as under_construction_month_change, ok as has_12_month_anomaly_baseline,
- case when ok then round(ab, 4) end as starts_prior_12_month_average, case when ok then round(sb, 4) end as starts_prior_12_month_stddev,
- case when ok and sb > 0 then round((housing_starts - ab) / sb, 4) end as starts_anomaly_zscore,
- case when ok and sb > 0 then abs(round((housing_starts - ab) / sb, 4)) >= 2.0 end as starts_anomaly_flag
- from (select *, nb = 12 and coalesce(lob = {back.format(12)} and hib = {back.format(1)}, false) as ok from (select *,
- count(housing_starts) over n as n3, min(reference_month) over n as lo3, avg(housing_starts) over n as a3, lag(reference_month) over w as mp, lag(housing_under_construction) over w as up,
- lag(reference_month, 12) over w as my, lag(housing_starts, 12) over w as vy, count(housing_starts) over b as nb, min(reference_month) over b as lob, max(reference_month) over b as hib, avg(housing_starts) over b as ab, stddev_samp(housing_starts) over b as sb
- from {source} window w as ({w}), n as ({w} rows between 2 preceding and current row), b as ({w} rows between 12 preceding and 1 preceding))))"""
+def _trend(source: str, keys: str, columns: str) -> str:
+    """The features by a join of each month with the twelve before it."""
+    same = " and ".join(f"x.{k.strip()} = y.{k.strip()}" for k in keys.split(","))
+    own = ", ".join(f"x.{k.strip()}" for k in keys.split(","))
+    return f"""select {keys}, reference_month, {columns} from (select *, case when n3 = 3 then round(a3, 4) end as starts_3_month_average,
+ case when rows12 = 12 and before <> 0 then round((v - before) / before::double * 100, 4) end as starts_year_over_year_pct, u - last_u as under_construction_month_change, n12 = 12 as has_12_month_anomaly_baseline,
+ case when n12 = 12 then round(a12, 4) end as starts_prior_12_month_average, case when n12 = 12 then round(s12, 4) end as starts_prior_12_month_stddev,
+ case when n12 = 12 and s12 > 0 then round((v - a12) / s12, 4) end as starts_anomaly_zscore, case when n12 = 12 and s12 > 0 then abs(round((v - a12) / s12, 4)) >= 2.0 end as starts_anomaly_flag
+ from (select {own}, x.reference_month, x.housing_starts as v, x.housing_under_construction as u, count(y.housing_starts) filter (where k < 3) as n3, avg(y.housing_starts) filter (where k < 3) as a3,
+ count(*) filter (where k > 0) as rows12, max(y.housing_starts) filter (where k = 12) as before, max(y.housing_under_construction) filter (where k = 1) as last_u,
+ count(y.housing_starts) filter (where k > 0) as n12, avg(y.housing_starts) filter (where k > 0) as a12, stddev_samp(y.housing_starts) filter (where k > 0) as s12
+ from (select x.*, y, date_diff('month', y.reference_month, x.reference_month) as k from {source} x join {source} y on {same} and y.reference_month between x.reference_month - interval 12 month and x.reference_month) x group by all))"""
 
 
 _SERIES = "source_validation_profile, cma_code, dwelling_type"
@@ -104,39 +102,41 @@ _FACTS = f"(select distinct {_SERIES}, reference_month, housing_starts, housing_
 
 
 def _series(columns: str) -> str:
-    return _trend(_FACTS, _SERIES, columns, f"{_SERIES}, reference_month, ")
+    return _trend(_FACTS, _SERIES, columns)
 
 
+_FEATURES = """starts_3_month_average, starts_year_over_year_pct, under_construction_month_change, has_12_month_anomaly_baseline, starts_prior_12_month_average, starts_prior_12_month_stddev,
+ starts_anomaly_zscore, starts_anomaly_flag"""
 FACT = f"""{_ALL}, joined as (select core.*, new_housing_price_index, new_house_price_index, new_land_price_index, price_index_component_count, price_release_timestamp, price_archive_sha256,
  price_index_component_count is not null as has_price_index_data, coalesce(price_index_component_count = 3, false) as has_complete_price_index, residential_permit_value_dollars, permit_release_timestamp, permit_archive_sha256,
  residential_permit_value_dollars is not null as has_permit_data, {_RATIO}, cast(year(reference_month) as integer) as reference_year
  from core left join pi using (reference_month, cma_code) left join pp using (reference_month, cma_code))
-select * exclude (n3, lo3, a3, mp, up, my, vy, nb, lob, hib, ab, sb, ok) from ({_trend('joined', 'cma_code, dwelling_type', '*')})"""
+select * from joined join ({_trend('joined', 'cma_code, dwelling_type', _FEATURES)}) using (reference_month, cma_code, dwelling_type)"""
 
-_NULLS = ("reference_month", "cma_code", "dwelling_type", "housing_starts", "housing_completions", "housing_under_construction", "market_starts_total")
+_KEY_NULLS = ("reference_month", "cma_code", "dwelling_type")
+_NULLS = ("housing_starts", "housing_completions", "housing_under_construction", "market_starts_total")
 
 
 def _base(where: str) -> str:
     f = "count(*) filter (where {})"
     both = "housing_starts is not null and market_starts_total is not null"
     parts = {
-        "row_count": "count(*)", "distinct_years": "count(distinct reference_year)", **{f"null__{c}": f.format(f"{c} is null") for c in _NULLS},
-        "market_eligible": f.format(both), "market_mismatches": f.format(f"{both} and housing_starts <> market_starts_total"), "reference_year_mismatches": f.format("reference_year <> year(reference_month)"),
-        "unexpected_dwelling_rows": f.format("dwelling_type not in ('total', 'single_detached', 'semi_detached', 'row', 'apartment_and_other')"), "anomaly_rows": f.format("starts_anomaly_flag"),
-        "activity_only_rows": f.format("has_activity_data and not has_market_data"), "market_only_rows": f.format("not has_activity_data and has_market_data"),
-        "missing_price_rows": f.format("not has_price_index_data"), "missing_permit_rows": f.format("not has_permit_data"),
+        "row_count": "count(*)", "years": "count(distinct reference_year)", **{f"unkeyed_{c}": f"count(*) - count({c})" for c in _KEY_NULLS}, **{f"empty_{c}": f"count(*) - count({c})" for c in _NULLS},
+        "market_off_compared": f.format(both), "market_off": f.format("housing_starts <> market_starts_total"), "year_off": f.format("reference_year <> year(reference_month)"),
+        "dwelling_unknown": f.format("dwelling_type not in ('total', 'single_detached', 'semi_detached', 'row', 'apartment_and_other')"), "anomalies": f.format("starts_anomaly_flag"),
+        "without_market": f.format("has_activity_data and not has_market_data"), "without_activity": f.format("has_market_data and not has_activity_data"),
+        "without_price": f.format("not has_price_index_data"), "without_permit": f.format("not has_permit_data"),
     }
     return "select " + ", ".join(f"{e} as {n}" for n, e in parts.items()) + f" from fct_housing_monthly where {where}"
 
 
 def _reconcile() -> str:
-    ms = ("housing_starts", "housing_completions", "housing_under_construction")
-    per = ", ".join(f"max({m}) filter (where dwelling_type = 'total') as t_{m}, sum({m}) filter (where part) as s_{m}, count({m}) filter (where part) as n_{m}" for m in ms)
-    ready = {m: f"(kinds = 4 and n_{m} = 4 and t_{m} is not null)" for m in ms}
-    eligible = " + ".join(f"count(*) filter (where {ready[m]})" for m in ms)
-    wrong = " + ".join(f"count(*) filter (where {ready[m]} and t_{m} <> s_{m})" for m in ms)
-    return f"""{WA} select {eligible} as component_eligible, {wrong} as component_mismatches from (select count(distinct dwelling_type) filter (where part) as kinds, {per}
- from (select *, dwelling_type in ('single_detached', 'semi_detached', 'row', 'apartment_and_other') as part from ({PIVOT_A})) group by reference_month, cma_code)"""
+    """Totals joined with the sums of their parts, measure by measure."""
+    one = """select t.reference_month, t.cma_code, t.v, p.v as parts from (select reference_month, cma_code, max({m}) as v from pa where dwelling_type = 'total' group by 1, 2) t
+ join (select reference_month, cma_code, sum({m}) as v, count({m}) as n, count(distinct dwelling_type) as kinds from pa where dwelling_type in ('single_detached', 'semi_detached', 'row', 'apartment_and_other') group by 1, 2) p
+ using (reference_month, cma_code) where t.v is not null and n = 4 and kinds = 4"""
+    parts = " union all ".join(one.format(m=m) for m in ("housing_starts", "housing_completions", "housing_under_construction"))
+    return f"{WA}, pa as ({PIVOT_A}) select count(*) as components_off_compared, count(*) filter (where v <> parts) as components_off from ({parts})"
 
 
 SQL: dict[str, str] = {
@@ -165,8 +165,8 @@ SQL: dict[str, str] = {
     "trailing3_avg": _series("starts_3_month_average"), "mom_change": _series("under_construction_month_change"), "yoy_pct": _series("starts_year_over_year_pct"),
     "baseline12": _series("has_12_month_anomaly_baseline, starts_prior_12_month_average, starts_prior_12_month_stddev"), "anomaly_zscore": _series("starts_anomaly_zscore"), "anomaly_flag": _series("starts_anomaly_flag"),
     "quality_base_metrics": _base("true"), "quality_empty_fact": _base("false"),
-    "quality_duplicates": "select cast(coalesce(sum(n - 1), 0) as bigint) as duplicate_rows from (select count(*) as n from fct_housing_monthly group by source_validation_profile, reference_month, cma_code, dwelling_type)",
-    "quality_completeness": "select count(*) filter (where n <> 5) as incomplete_groups from (select count(distinct dwelling_type) as n from fct_housing_monthly group by reference_month, cma_code)",
+    "quality_duplicates": "select cast(coalesce(sum(n - 1), 0) as bigint) as repeated_rows from (select count(*) as n from fct_housing_monthly group by source_validation_profile, reference_month, cma_code, dwelling_type)",
+    "quality_completeness": "select count(*) filter (where n <> 5) as places_incomplete, count(*) as places_incomplete_compared from (select count(distinct dwelling_type) as n from fct_housing_monthly group by reference_month, cma_code)",
     "quality_reconcile": _reconcile(),
     "staging_reconcile": f"select count(*) as row_count, count(distinct ({_SERIES}, reference_month)) as distinct_keys, min(reference_month) as first_month, max(reference_month) as last_month from fct_housing_monthly",
     "month_range_replace": f"""with n as (select * from fct_housing_monthly where not created_at_utc < timestamp '2024-01-01'), o as (select * from fct_housing_monthly where created_at_utc < timestamp '2024-01-01'),
