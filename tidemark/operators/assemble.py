@@ -9,10 +9,9 @@ from tidemark.errors import AssemblyError
 from tidemark.operators.rollup import market_total, permit_rollup, rollup
 from tidemark.operators.trends import trends
 from tidemark.plans.fact import FACT_COLUMNS
-from tidemark.specs import ACTIVITY, ACTIVITY_ROLLUP, MARKET, MARKET_ROLLUP, PERMITS, PRICE_ROLLUP, PRICES, TrendSpec
+from tidemark.specs import ACTIVITY, ACTIVITY_ROLLUP, MARKET, MARKET_ROLLUP, PERMIT_CONTEXT, PRICE_CONTEXT, PRICE_ROLLUP, ContextSpec, TrendSpec
 
 KEYS = ["reference_month", "cma_code", "dwelling_type"]
-CONTEXT_KEYS = ["reference_month", "cma_code"]
 
 
 def core(activity: DataFrame, market: DataFrame) -> DataFrame:
@@ -29,28 +28,16 @@ def core(activity: DataFrame, market: DataFrame) -> DataFrame:
     }).drop("activity_geography", "market_geography")
 
 
-def with_prices(fact: DataFrame, prices: DataFrame | None) -> DataFrame:
-    """Price indexes of the month and area beside each dwelling row; typed nulls where there is no such source.
+def with_context(fact: DataFrame, side: DataFrame | None, spec: ContextSpec) -> DataFrame:
+    """A context's columns and flags beside each dwelling row; typed nulls where there is no such source.
 
-    The flag tests that a row is there. The side is left to AQE: broadcast if its measured size is small, else shuffled.
+    The side is left to AQE: broadcast if its measured size is small, else shuffled.
     """
-    if prices is None:
-        nulls = {name: "decimal(18,4)" for name, _ in PRICE_ROLLUP.members} | {PRICE_ROLLUP.count: "bigint", "price_release_timestamp": "timestamp_ntz", "price_archive_sha256": "string"}
-        fact = fact.withColumns({n: F.lit(None).cast(t) for n, t in nulls.items()})
+    if side is None:
+        fact = fact.withColumns({name: F.lit(None).cast(kind) for name, kind in spec.columns})
     else:
-        fact = fact.join(prices, CONTEXT_KEYS, "left")
-    n = F.col(PRICE_ROLLUP.count)
-    return fact.withColumns({"has_price_index_data": n.isNotNull(), "has_complete_price_index": F.coalesce(n == len(PRICE_ROLLUP.members), F.lit(False))})
-
-
-def with_permits(fact: DataFrame, permits: DataFrame | None) -> DataFrame:
-    """Permit values of the month and area; the flag tests the value, not the row."""
-    if permits is None:
-        nulls = {"residential_permit_value_dollars": "decimal(24,4)", "permit_release_timestamp": "timestamp_ntz", "permit_archive_sha256": "string"}
-        fact = fact.withColumns({n: F.lit(None).cast(t) for n, t in nulls.items()})
-    else:
-        fact = fact.join(permits, CONTEXT_KEYS, "left")
-    return fact.withColumn("has_permit_data", F.col("residential_permit_value_dollars").isNotNull())
+        fact = fact.join(side.select(*spec.keys, *(name for name, _ in spec.columns)), list(spec.keys), "left")
+    return fact.withColumns({flag: F.expr(condition) for flag, condition in spec.flags})
 
 
 def with_ratio(fact: DataFrame) -> DataFrame:
@@ -63,8 +50,8 @@ def build_fact(clean: dict[str, DataFrame], trend: TrendSpec = TrendSpec()) -> D
     missing = sorted({ACTIVITY.source_id, MARKET.source_id} - clean.keys())
     if missing:
         raise AssemblyError(f"missing required sources: {', '.join(missing)}")
-    prices, permits = clean.get(PRICES.source_id), clean.get(PERMITS.source_id)
+    sides = {PRICE_CONTEXT: lambda rows: rollup(rows, PRICE_ROLLUP), PERMIT_CONTEXT: permit_rollup}
     joined = core(rollup(clean[ACTIVITY.source_id], ACTIVITY_ROLLUP), rollup(clean[MARKET.source_id], MARKET_ROLLUP))
-    joined = with_prices(joined, None if prices is None else rollup(prices, PRICE_ROLLUP))
-    joined = with_ratio(with_permits(joined, None if permits is None else permit_rollup(permits)))
-    return trends(joined.withColumn("reference_year", F.year("reference_month")), trend).select(*FACT_COLUMNS)
+    for spec, roll in sides.items():
+        joined = with_context(joined, roll(clean[spec.source_id]) if spec.source_id in clean else None, spec)
+    return trends(with_ratio(joined).withColumn("reference_year", F.year("reference_month")), trend).select(*FACT_COLUMNS)

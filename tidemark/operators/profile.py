@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -77,15 +78,15 @@ def column_profile(df: DataFrame, load: str, columns: Sequence[str], contract: S
     return profile_counts(counts, contract, numeric, median_columns)
 
 
-def profile_counts(counts: DataFrame, contract: Sequence[tuple], numeric: Sequence[str], median_columns: Sequence[str] = ()) -> DataFrame:
-    """column_profile from value counts already made."""
+def profile_counts(counts: DataFrame, contract: Sequence[tuple], numeric: Sequence[str], median_columns: Sequence[str] = (), texts: bool = True) -> DataFrame:
+    """column_profile from value counts already made; without ``texts`` min_text, max_text and top_value, which take a sort, are left out."""
     pattern, out_of_range = breaches(contract)
     has, x = F.col("value").isNotNull(), F.when(F.col("column_name").isin(*numeric), F.col("value").cast("double"))
+    by_text = [F.min("value").alias("min_text"), F.max("value").alias("max_text"), F.max_by("value", F.when(has, F.struct("n", "value"))).alias("top_value")] if texts else []
     out = counts.groupBy("load", "column_name").agg(
         F.sum("n").alias("rows"), F.sum(F.when(has, 0).otherwise(F.col("n"))).alias("nulls"), F.count("value").alias("distinct_values"),
-        F.sum(F.when(F.col("value") == "true", F.col("n")).otherwise(0)).alias("trues"), F.min("value").alias("min_text"), F.max("value").alias("max_text"),
-        F.min(x).alias("min_number"), F.max(x).alias("max_number"), F.max_by("value", F.when(has, F.struct("n", "value"))).alias("top_value"),
-        F.sum(F.when(pattern, F.col("n")).otherwise(0)).alias("pattern_breaches"), F.sum(F.when(out_of_range, F.col("n")).otherwise(0)).alias("range_breaches"),
+        F.sum(F.when(F.col("value") == "true", F.col("n")).otherwise(0)).alias("trues"), F.min(x).alias("min_number"), F.max(x).alias("max_number"),
+        F.sum(F.when(pattern, F.col("n")).otherwise(0)).alias("pattern_breaches"), F.sum(F.when(out_of_range, F.col("n")).otherwise(0)).alias("range_breaches"), *by_text,
     )
     if median_columns:
         out = out.join(exact_medians(counts, median_columns), ["load", "column_name"], "left")
@@ -144,6 +145,15 @@ def population_shift(counts: DataFrame, before: DataFrame, numeric: Sequence[str
     )
 
 
+def stability_index(share: Column, before: Column, floor: float = 1e-4) -> Column:
+    """Population stability index of a class and its complement, no share counting as less than ``floor``."""
+    def part(p: Column, q: Column) -> Column:
+        p, q = F.greatest(p, F.lit(floor)), F.greatest(q, F.lit(floor))
+        return (p - q) * F.log(p / q)
+
+    return part(share, before) + part(1 - share, 1 - before)
+
+
 def preceding_loads(loads: DataFrame) -> DataFrame:
     """(load, profile, before): the load before each by start, among those that succeeded and have rows; null if none.
 
@@ -157,7 +167,8 @@ def preceding_loads(loads: DataFrame) -> DataFrame:
 def drift_findings(profile: DataFrame, before: DataFrame, booleans: Sequence[str], level_columns: Sequence[str], rate: str = "0.2", factor: int = 2, least: int = 10) -> DataFrame:
     """(load, column_name, finding) for null_rate, true_rate and level, each load beside the one before it.
 
-    Shares are compared as exact products of whole numbers. A column without non-null values has no share and no level.
+    A share is looked at where the population stability index of its two classes reaches the least a difference of
+    ``rate`` can make, and then compared as exact products of whole numbers. A column without non-null values has no share and no level.
     """
     def num(c: str) -> Column:
         return F.col(c).cast("decimal(20,0)")
@@ -165,11 +176,13 @@ def drift_findings(profile: DataFrame, before: DataFrame, booleans: Sequence[str
     old = profile.select(F.col("load").alias("before"), "column_name", *(F.col(c).alias(f"{c}_0") for c in ("rows", "nulls", "trues", "median")))
     both = profile.join(before.select("load", "before").dropna(), "load").join(old, ["before", "column_name"])
     both = both.withColumns({"full": F.col("rows") - F.col("nulls"), "full_0": F.col("rows_0") - F.col("nulls_0")})
-    limit = F.lit(rate).cast("decimal(2,1)")
+    limit, r = F.lit(rate).cast("decimal(2,1)"), float(rate)
+    least_index = 2 * r * math.log((1 + r) / (1 - r)) * 0.99  # two classes as far apart, equally far from a half; less a little for rounding
 
     def moved(a: str, n: str) -> Column:
         gap = F.abs(num(a).cast("double") * num(f"{n}_0").cast("double") - num(f"{a}_0").cast("double") * num(n).cast("double"))
-        return gap > limit.cast("double") * num(n).cast("double") * num(f"{n}_0").cast("double") + 1e-9
+        exactly = gap > limit.cast("double") * num(n).cast("double") * num(f"{n}_0").cast("double") + 1e-9
+        return (stability_index(F.col(a) / F.nullif(F.col(n), F.lit(0)), F.col(f"{a}_0") / F.nullif(F.col(f"{n}_0"), F.lit(0))) >= least_index) & exactly
 
     level = (F.col("median_0") >= least) & ((F.col("median") > factor * F.col("median_0")) | (F.col("median") * factor < F.col("median_0")))
     found = F.array_compact(F.array(

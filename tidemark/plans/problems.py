@@ -134,19 +134,18 @@ def metric_findings(spark: SparkSession, sf_dir: str, shape: DataFrame) -> DataF
     return both.filter(differs).select("load", "column_name", F.lit("metric").alias("finding")).distinct()
 
 
-def _profiled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(fact, value counts, profile, load before each load)."""
+def _profiled(spark: SparkSession, sf_dir: str, texts: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(fact, profile, load before each load). Columns are unpivoted once; everything else comes from the counts."""
     fact = read(spark, sf_dir, FACT)
     numeric = [f.name for f in fact.schema.fields if isinstance(f.dataType, T.NumericType)]
-    counts = profile.value_counts(fact, LOAD, fact.columns)
-    shape = cut(profile.profile_counts(counts, contract(spark, sf_dir), numeric, LEVEL_COLUMNS))
+    counts = cut(profile.value_counts(fact, LOAD, fact.columns))
+    shape = cut(profile.profile_counts(counts, contract(spark, sf_dir), numeric, LEVEL_COLUMNS, texts))
     with_rows = shape.select("load").distinct()
-    before = profile.preceding_loads(attempts(spark, sf_dir).join(with_rows, "load"))
-    return fact, counts, shape, before
+    return fact, shape, profile.preceding_loads(attempts(spark, sf_dir).join(with_rows, "load"))
 
 
 def p3_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _profiled(spark, sf_dir)[2].withColumnRenamed("load", "load_batch_id")
+    return _profiled(spark, sf_dir, texts=True)[1].withColumnRenamed("load", "load_batch_id")
 
 
 def p3_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +157,7 @@ def p3_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, _, shape, before = _profiled(spark, sf_dir)
+    fact, shape, before = _profiled(spark, sf_dir, texts=False)
     booleans = [f.name for f in fact.schema.fields if isinstance(f.dataType, T.BooleanType)]
     rules = F.array_compact(F.array(F.when(F.col("pattern_breaches") > 0, F.lit("pattern")), F.when(F.col("range_breaches") > 0, F.lit("range"))))
     broken = shape.select("load", "column_name", F.explode(rules).alias("finding"))
@@ -203,28 +202,40 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 # 6
 # The publisher's columns in order.
 HEAD, TAIL = ("REF_DATE", "GEO", "DGUID"), ("UOM", "UOM_ID", "SCALAR_FACTOR", "SCALAR_ID", "VECTOR", "COORDINATE", "VALUE", "STATUS", "SYMBOL", "TERMINATED", "DECIMALS")
-CHECKS = {"REF_DATE": ("ref_date", r"[0-9]{4}-(?:0[1-9]|1[0-2])"), "VALUE": ("value", r"|\.\.|\.\.\.|x|F|[+-]?[0-9]+(?:\.[0-9]+)?")}
+CHECKS = {
+    "REF_DATE": parsing.Check("ref_date", "try_cast(concat(value, '-01') as date)", r"[0-9]{4}-(?:0[1-9]|1[0-2])"),
+    "VALUE": parsing.Check("value", "try_cast(value as double)", r"[+-]?[0-9]+(?:\.[0-9]+)?", ("", "..", "...", "x", "F")),
+}
 ACTIVITY_LINES = parsing.Layout(ACTIVITY, (*HEAD, "Housing estimates", "Type of unit", *TAIL), CHECKS)
 PERMIT_LINES = parsing.Layout("statcan_building_permits", (*HEAD, "Type of building", "Type of work", "Variables", "Seasonal adjustment, value type", *TAIL), CHECKS)
 
 
-def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = read(spark, sf_dir, "raw_lines").filter(F.coalesce(F.col("line_no") != 1, F.lit(True)))
-    return parsing.checked_lines(lines, (ACTIVITY_LINES, PERMIT_LINES))
+def _checked(spark: SparkSession, sf_dir: str, with_fields: bool) -> DataFrame:
+    lines = read(spark, sf_dir, "raw_lines").filter(F.coalesce(F.col("line_no") != 1, F.lit(True))).select("line_id", "source_id", "line")
+    return parsing.checked_lines(lines, (ACTIVITY_LINES, PERMIT_LINES), with_fields=with_fields)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _checked(spark, sf_dir).filter("reason is not null").select("line_id", "reason")
+    return _checked(spark, sf_dir, with_fields=False).filter("reason is not null").select("line_id", "reason")
 
 
 def p6_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The valid records, typed: month, place, series, value (null for codes) and its code."""
-    checked = _checked(spark, sf_dir)
-    parts = [parsing.valid_records(checked, lay, ("line_id", "source_id")).select("line_id", "source_id", "REF_DATE", "GEO", "DGUID", "VECTOR", "VALUE", "STATUS") for lay in (ACTIVITY_LINES, PERMIT_LINES)]
-    number = F.col("VALUE").try_cast("decimal(24,6)")
-    return parts[0].unionByName(parts[1]).select(
-        "line_id", "source_id", F.to_date(F.concat("REF_DATE", F.lit("-01"))).alias("reference_month"), F.col("GEO").alias("geography"), F.col("DGUID").alias("dguid"),
-        F.col("VECTOR").alias("vector"), number.alias("value"), F.when(number.isNull(), F.nullif(F.col("VALUE"), F.lit(""))).alias("value_code"), F.nullif(F.col("STATUS"), F.lit("")).alias("status"),
+    """The valid records, typed: month, place, series, value (null for codes) and its code.
+
+    A valid value is cast where it stands: that is one step of the same projection, while joining it from a dictionary of
+    all values would shuffle every record.
+    """
+    checked = _checked(spark, sf_dir, with_fields=True).filter("reason is null")
+
+    def field(name: str):
+        at = F.when(F.col("source_id") == ACTIVITY_LINES.source, F.lit(ACTIVITY_LINES.columns.index(name))).otherwise(F.lit(PERMIT_LINES.columns.index(name)))
+        return F.get("fields", at)
+
+    value = F.trim(field("VALUE"))
+    number = value.try_cast("decimal(24,6)")
+    return checked.select(
+        "line_id", "source_id", F.to_date(F.concat(F.trim(field("REF_DATE")), F.lit("-01"))).alias("reference_month"), field("GEO").alias("geography"), field("DGUID").alias("dguid"),
+        field("VECTOR").alias("vector"), number.alias("value"), F.when(number.isNull(), F.nullif(value, F.lit(""))).alias("value_code"), F.nullif(field("STATUS"), F.lit("")).alias("status"),
     )
 
 

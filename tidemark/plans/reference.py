@@ -14,7 +14,7 @@ from tidemark.operators.revisions import clean_source, clean_summary, dedup_late
 from tidemark.operators.rollup import canonical_dwelling, eligible, permit_rollup, rollup
 from tidemark.operators.trends import trends
 from tidemark.session import read
-from tidemark.specs import ACTIVITY, ACTIVITY_ROLLUP, MARKET, MARKET_ROLLUP, PERMITS, PRICE_ROLLUP, PRICES, Profile, QualityPolicy, SourceSpec, TrendSpec
+from tidemark.specs import ACTIVITY, ACTIVITY_ROLLUP, MARKET, MARKET_ROLLUP, PERMIT_CONTEXT, PERMITS, PRICE_CONTEXT, PRICE_ROLLUP, PRICES, Profile, QualityPolicy, SourceSpec, TrendSpec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ROW = ("obs_id",)
@@ -176,19 +176,19 @@ def full_join_core(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def left_join_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = assemble.with_prices(full_join_core(spark, sf_dir), pivot_price(spark, sf_dir))
+    joined = assemble.with_context(full_join_core(spark, sf_dir), pivot_price(spark, sf_dir), PRICE_CONTEXT)
     return joined.select(*assemble.KEYS, "new_housing_price_index", "new_house_price_index", "new_land_price_index", "price_index_component_count", "has_price_index_data", "has_complete_price_index")
 
 
 @query
 def left_join_permit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = assemble.with_permits(full_join_core(spark, sf_dir), permit_series(spark, sf_dir))
+    joined = assemble.with_context(full_join_core(spark, sf_dir), permit_series(spark, sf_dir), PERMIT_CONTEXT)
     return joined.select(*assemble.KEYS, "residential_permit_value_dollars", "has_permit_data")
 
 
 @query
 def optional_context_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = assemble.with_permits(assemble.with_prices(full_join_core(spark, sf_dir), None), None)
+    joined = assemble.with_context(assemble.with_context(full_join_core(spark, sf_dir), None, PRICE_CONTEXT), None, PERMIT_CONTEXT)
     return joined.select(*assemble.KEYS, "new_housing_price_index", "has_price_index_data", "residential_permit_value_dollars", "has_permit_data")
 
 

@@ -116,6 +116,7 @@ PRICE_ROLLUP = RollupSpec(
     (("new_housing_price_index", "Total (house and land)"), ("new_house_price_index", "House only"), ("new_land_price_index", "Land only")),
     "price_index_component_count", "price",
 )
+# The one permit series that overlaps no other, and the publisher's dwelling labels.
 PERMIT_SERIES = {
     "building_type": "Total residential", "work_type": "Types of work, total", "permit_variable": "Value of permits", "adjustment_type": "Seasonally adjusted, current",
 }
@@ -124,9 +125,34 @@ DWELLING_LABELS = {
     "Total units": "total", "Single-detached units": "single_detached", "Single units": "single_detached", "Semi-detached units": "semi_detached", "Row units": "row",
     "Apartment and other unit types": "apartment_and_other", "Apartment and other types of units": "apartment_and_other",
 }
+# How names of aggregates begin.
 AGGREGATE_PREFIXES = ("Census metropolitan areas", "Total census metropolitan areas", "All ")
 
 
+@dataclass(frozen=True)
+class ContextSpec:
+    """A side joined to every dwelling row of a month and area: its columns with types, and flags as SQL conditions over them."""
+
+    source_id: str
+    columns: tuple[tuple[str, str], ...]
+    flags: tuple[tuple[str, str], ...]
+    keys: tuple[str, ...] = ("reference_month", "cma_code")
+
+
+def _provenance(prefix: str) -> tuple[tuple[str, str], ...]:
+    return ((f"{prefix}_release_timestamp", "timestamp_ntz"), (f"{prefix}_archive_sha256", "string"))
+
+
+# A price row counts though its total is missing; a permit row without a value does not.
+PRICE_CONTEXT = ContextSpec(
+    PRICES.source_id, (*((name, "decimal(18,4)") for name, _ in PRICE_ROLLUP.members), (PRICE_ROLLUP.count, "bigint"), *_provenance("price")),
+    (("has_price_index_data", f"{PRICE_ROLLUP.count} is not null"), ("has_complete_price_index", f"coalesce({PRICE_ROLLUP.count} = {len(PRICE_ROLLUP.members)}, false)")),
+)
+PERMIT_CONTEXT = ContextSpec(
+    PERMITS.source_id, (("residential_permit_value_dollars", "decimal(24,4)"), *_provenance("permit")), (("has_permit_data", "residential_permit_value_dollars is not null"),)
+)
+
+
 @dataclass(frozen=True)
 class TrendSpec:
     """Gap-gated features of a monthly series: trailing average, month and year changes, baseline and anomaly."""
