@@ -13,13 +13,22 @@ RADIX = 200  # logarithmic steps per power of e in the first stage of the median
 CLASSES, FEW_VALUES = 10, 20  # classes of a number in a comparison of loads; so many values are a class each
 
 
+def _text(df: DataFrame, column: str) -> Column:
+    c = F.col(f"`{column}`")
+    text = c.cast("string")
+    if not isinstance(df.schema[column].dataType, T.FractionalType) or isinstance(df.schema[column].dataType, T.DecimalType):
+        return text
+    plain = F.regexp_replace(c.try_cast("decimal(38,18)").cast("string"), r"(\.[0-9]+?)0*$", "$1")
+    return F.when(text.contains("E"), F.coalesce(plain, text)).otherwise(text)
+
+
 def value_counts(df: DataFrame, load: str, columns: Sequence[str]) -> DataFrame:
     """(load, column_name, value, n): how often each value of each column occurs in each load; value null for nulls.
 
-    Values are texts of the columns' own types. One row per value leaves a map task, so a load that holds a third of
+    Values are texts of the columns' own types, numbers without exponents. One row per value leaves a map task, so a load that holds a third of
     all rows shuffles no more than its distinct values.
     """
-    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns)))
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), _text(df, c).alias("value")) for c in columns)))
     return df.select(F.col(load).alias("load"), cells.alias("c")).groupBy("load", "c.column_name", "c.value").agg(F.count("*").alias("n"))
 
 

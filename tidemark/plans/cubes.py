@@ -30,7 +30,7 @@ def with_area(df: DataFrame, areas: DataFrame) -> DataFrame:
 
 
 def cube_cells(spark: SparkSession, sf_dir: str, source: str, newest_only: bool) -> DataFrame:
-    """Rows of a cube as (source_id, feed_id, ref_month, cma_code, dwelling_type, column_name, quantity, value_text, obs_id).
+    """Rows of a cube as (source_id, feed_id, ref_month, cma_code, dwelling_type, column_name, quantity, obs_id).
 
     newest_only keeps each feed's newest archive, found in the registrations, so others are dropped by the join.
     """
@@ -43,5 +43,5 @@ def cube_cells(spark: SparkSession, sf_dir: str, source: str, newest_only: bool)
     placed = with_area(dwelling_quantity(raw), read(spark, sf_dir, "cma_reference"))
     return placed.select(
         F.lit(source).alias("source_id"), F.col("feed").alias("feed_id"), ref_month(F.col("REF_DATE")).alias("ref_month"), "cma_code",
-        dwelling_type(F.col(f"`{unit}`")).alias("dwelling_type"), column.alias("column_name"), "quantity", F.col("VALUE").alias("value_text"), "obs_id",
+        dwelling_type(F.col(f"`{unit}`")).alias("dwelling_type"), column.alias("column_name"), "quantity", "obs_id",
     )

@@ -39,15 +39,11 @@ MEMBERS = ("starts_homeowner", "starts_rental", "starts_condominium", "starts_co
 
 
 def p2_wide_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = cube_cells(spark, sf_dir, ACTIVITY, newest_only=True)
-    names = widen.attribute_names(cells)
-    return widen.widen(cells, ENTITY, [*MEASURES, *(n for n in names if n not in MEASURES)])
+    return widen.widen(cube_cells(spark, sf_dir, ACTIVITY, newest_only=True), ENTITY, MEASURES)
 
 
 def p2_wide_market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = cube_cells(spark, sf_dir, MARKET, newest_only=False)
-    names = widen.attribute_names(cells)
-    return widen.widen(cells, ENTITY, [*MEMBERS, *(n for n in names if n not in MEMBERS)])
+    return widen.widen(cube_cells(spark, sf_dir, MARKET, newest_only=False), ENTITY, MEMBERS)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
