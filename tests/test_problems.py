@@ -105,23 +105,48 @@ def test_snapshot_changes(spark, first_cells, rounds):
     assert snapshots.snapshot_changes(r, s.limit(0), ["vector", "ref_month"]).count() == 0
 
 
+def test_pairs_held_several_times_are_peeled():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    kh, vh = rng.integers(0, 1 << 60, (2, 60))
+
+    def sketches(part, archive, side):
+        """Each chunk sketches the pairs it holds, so one that is in two or four of them counts as often."""
+        for chosen in part:
+            batch = pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(chosen), archive), np.zeros(len(chosen), np.int64), kh[chosen], vh[chosen])], names=["archive", "bucket", "kh", "vh"])
+            for out in snapshots._sketcher(144, 5)(iter([batch, batch])):
+                yield pa.Table.from_batches([out]).append_column("release", pa.array([7], pa.int64())).append_column("side", pa.array([side], pa.int32()))
+
+    new = [np.arange(50), np.arange(10), np.arange(10, 20), np.arange(5, 12), np.arange(7, 9)]
+    old = [np.arange(20, 60), np.arange(56, 60), np.arange(20, 25)]
+    table = pa.concat_tables([*sketches(new, 1, 1), *sketches(old, 2, -1)])
+    got = pa.Table.from_batches(list(snapshots._peeler(144, 5)(iter(table.combine_chunks().to_batches()))))
+    assert not any(got["failed"].to_pylist()) and set(got["kh"].to_pylist()) == set(kh[[*range(25), *range(50, 60)]].tolist())
+
+
 # 2
 def test_widen(spark):
-    rows = [("e1", "a", 5, "5"), ("e1", "a", 5, "5.0"), ("e1", "b", None, "x"), ("e1", "c", 1, "1"), ("e1", "c", 2, "2"), ("e2", "d", 7, "7"), ("e2", "a", None, None), ("e2", "a", 3, "3"), ("e3", None, 1, "1"), (None, "a", 1, "1")]
-    df = spark.createDataFrame(rows, "e string, column_name string, quantity bigint, value_text string")
-    wide = {r.e: r for r in widen.widen(df, ["e"], ["a", "b", "c", "d"]).collect()}
-    assert set(wide) == {"e1", "e2", "e3"}
-    assert (wide["e1"].a, wide["e1"].b, wide["e1"].c, wide["e1"].d) == (5, None, None, None)
-    assert '"x"' in wide["e1"].failures and '"conflict"' in wide["e1"].failures and (wide["e2"].a, wide["e2"].d) == (3, 7)
+    rows = [("e1", "a", 5, 1), ("e1", "a", 5, 2), ("e1", "b", None, 4), ("e1", "b", None, 3), ("e1", "c", 1, 5), ("e1", "c", 2, 6), ("e2", "d", 7, 7), ("e2", "a", None, 8), ("e2", "a", 3, 9), ("e3", None, 1, 10), (None, "a", 1, 11)]
+    df = spark.createDataFrame(rows, "e string, column_name string, quantity bigint, obs_id bigint").withColumn("value", F.lit("clash"))
+    wide = widen.widen(df, ["e"], ["a", "x"])
+    assert wide.columns == ["e", "a", "x", "b", "c", "d", "failures"]
+    got = {r.e: r for r in wide.collect()}
+    assert set(got) == {"e1", "e2", "e3"}
+    assert (got["e1"].a, got["e1"].b, got["e1"].c, got["e1"].d) == (5, None, None, None) and got["e3"].failures == "{}"
+    assert got["e1"].failures == '{"b":{"state":"empty","bad_rows":2,"first_bad":3},"c":{"state":"conflict","bad_rows":0}}' and (got["e2"].a, got["e2"].d) == (3, 7)
+    assert got["e2"].failures == '{"a":{"value":3,"state":"ok","bad_rows":1,"first_bad":8}}'
     cases = {tuple(r) for r in widen.unresolved_cells(df, ["e"], ["a", "b", "c"]).collect()}
     assert cases == {("e1", "b", "empty"), ("e1", "c", "conflict"), ("e2", "b", "empty"), ("e2", "c", "empty"), ("e3", "a", "empty"), ("e3", "b", "empty"), ("e3", "c", "empty")}
-    assert widen.attribute_names(df) == ["a", "b", "c", "d"] and widen.widen(df.limit(0), ["e"], ["a"]).count() == 0
+    assert widen.widen(df.limit(0), ["e"], ["a"]).count() == 0
+    with pytest.raises(ValueError, match="more than 2"):
+        widen.attribute_names(widen.resolve_cells(df, ["e"]), 2)
 
 
 def test_wide_activity_keeps_other_measures(spark, monkeypatch):
     key = ("a", "f", "2024-01", "417", "row")
-    rows = [(*key, "housing_starts", 5, "5"), (*key, "housing_demolitions", 7, "7"), (*key, None, 1, "1")]
-    cells = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in problems.ENTITY) + ", column_name string, quantity bigint, value_text string")
+    rows = [(*key, "housing_starts", 5, 1), (*key, "housing_demolitions", 7, 2), (*key, None, 1, 3)]
+    cells = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in problems.ENTITY) + ", column_name string, quantity bigint, obs_id bigint")
     monkeypatch.setattr(problems, "cube_cells", lambda *_, **__: cells)
     wide = problems.p2_wide_activity(spark, "")
     assert wide.columns == [*problems.ENTITY, *problems.MEASURES, "housing_demolitions", "failures"]

@@ -8,6 +8,7 @@ differences than their table holds are sketched again, larger. The keys found ar
 classifies them exactly; that filter is pushed down to the scan, so values are only read for what differs.
 
 Cells hold sums modulo 2**64, not exclusive ors: a record that two map tasks both hold counts twice and cannot vanish.
+Hashes have HASH_BITS bits, so a pair that is left several times can still be read from its multiple.
 """
 
 from __future__ import annotations
@@ -16,14 +17,14 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import xxhash64_longs
 from tidemark.session import cut, small
 
 HASHES, ROWS_PER_BUCKET, FIRST_CELLS, GROWTH, ROUNDS = 4, 2048, 432, 4, 4
-CHECK_SEED, DIGEST_SEED = 101, 202
+CHECK_SEED, DIGEST_SEED, HASH_BITS = 101, 202, 60
 #: Rows a map task gathers before it sketches them, and cells that are peeled at once.
 CHUNK_ROWS, CHUNK_CELLS = 262_144, 4_000_000
 SKETCH = "archive long, bucket long, cell array<int>, n array<long>, k array<long>, v array<long>, c array<long>"
@@ -47,6 +48,10 @@ def release_pairs(releases: DataFrame) -> DataFrame:
     return one.withColumn("before", F.lag("archive").over(before)).filter("before is not null and before != archive")
 
 
+def _hash(*columns: Column | str) -> Column:
+    return F.xxhash64(*columns).bitwiseAND(F.lit((1 << HASH_BITS) - 1).cast("bigint"))
+
+
 def _places(k: np.ndarray, v: np.ndarray, cells: int, seed: int) -> np.ndarray:
     """The cells (from 1, for 0 holds the digest) of each pair, one in each part of the table."""
     part = max(1, cells // HASHES)
@@ -101,12 +106,17 @@ def _sketcher(cells: int, seed: int):
     return run
 
 
-def _odd_inverse(n: np.ndarray) -> np.ndarray:
-    """Inverse of odd numbers modulo 2**64."""
-    x = n.copy()
+def _divided(total: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The hash of which ``total`` is ``times`` the multiple modulo 2**64; nonsense if there is none.
+
+    The odd part of ``times`` has an inverse, and a power of two up to the bits that a hash leaves free is a shift.
+    """
+    even = times & -times
+    odd = times // even
+    x = odd.copy()
     for _ in range(5):
-        x = x * (2 - n * x)
-    return x
+        x = x * (2 - odd * x)
+    return ((total * x).view(np.uint64) // even.view(np.uint64)).view(np.int64)
 
 
 def _peeler(cells: int, seed: int):
@@ -133,9 +143,9 @@ def _peeler(cells: int, seed: int):
         found: list[tuple[np.ndarray, ...]] = []
         look = np.unique(at)
         while len(look):
-            look = look[N[look] % 2 != 0]
+            look = look[N[look] != 0]
             times = N[look]
-            key, value = K[look] * (inverse := _odd_inverse(times)), V[look] * inverse
+            key, value = _divided(K[look], times), _divided(V[look], times)
             sound = xxhash64_longs(key, value, CHECK_SEED) * times == C[look]
             sound[sound] &= (_places(key[sound], value[sound], cells, seed) == look[sound] % width).any(axis=0)
             look, key, value, times = look[sound], key[sound], value[sound], times[sound]
@@ -195,8 +205,8 @@ def differing_keys(records: DataFrame, roles: DataFrame, valued: Callable[[DataF
 
     records: archive, bucket, kh of every row, to which ``valued`` adds vh, if need be of few rows only. roles: archive, feed, release, side (1 the release's own archive, -1
     the one before). A bucket that does not peel clean or whose digest disagrees is sketched again with four times the
-    cells and new hashes; buckets that resist every round (a pair an even number of times in the balance, or a
-    coincidence of hashes, for the last table outgrows a bucket) are compared pair by pair.
+    cells and new hashes; buckets that resist every round (only possible by a coincidence of hashes, for the last
+    table outgrows a bucket) are compared pair by pair.
     """
     done: list[DataFrame] = []
     failed: DataFrame | None = None
@@ -261,11 +271,11 @@ def snapshot_changes(
     roles = one[0].unionByName(one[1])
 
     add = measure or (lambda df: df)
-    keyed = rows.dropna(subset=list(key)).withColumn("kh", F.xxhash64(*key))
+    keyed = rows.dropna(subset=list(key)).withColumn("kh", _hash(*key))
     records = keyed.join(known.select("archive", "no", "buckets"), "archive").withColumn("bucket", F.pmod("kh", "buckets")).drop("archive", "buckets").withColumnRenamed("no", "archive")
 
     def valued(df: DataFrame) -> DataFrame:
-        return add(df).withColumn("vh", F.xxhash64("kh", F.col(value).isNull(), value))
+        return add(df).withColumn("vh", _hash("kh", F.col(value).isNull(), value))
 
     differing = differing_keys(records, roles.drop("name"), valued, first_cells, rounds).distinct()
     wanted = cut(differing.join(roles.drop("feed").withColumnRenamed("archive", "no"), "release").withColumn("look", F.xxhash64("name", "kh")))
