@@ -91,6 +91,8 @@ def test_pack(spark):
     sizes = [0, None, 5, 100, 205, 99, 1, 1, 40, 60] * 20
     items = spark.createDataFrame([(i % 150, s, "x") for i, s in enumerate(sizes)], "doc_id bigint, n_tokens bigint, container_id string")
     rows = packing.pack(items, 3, 100).collect()
+    again = packing.pack(items.repartition(7), 3, 100).collect()
+    assert sorted((r.doc_id, r.piece_no, r.n_units, r.container_id) for r in rows) == sorted((r.doc_id, r.piece_no, r.n_units, r.container_id) for r in again)
     fill: dict[int, int] = {}
     for r in rows:
         fill[r.container_id] = fill.get(r.container_id, 0) + r.n_units
@@ -98,6 +100,9 @@ def test_pack(spark):
     assert max(fill.values()) <= 100 and sum(fill.values()) == sum(s or 0 for s in sizes) and len(fill) <= -(-sum(fill.values()) // 100) + 3
     assert len(rows) == sum(max(1, -(-(s or 0) // 100)) for s in sizes)
     assert packing.pack(items.limit(0), 3, 100).count() == 0
+    hot = spark.createDataFrame([(7, 3)], "doc_id bigint, n_tokens int").crossJoin(spark.range(10_000).select())
+    packed = packing.pack(hot, 4, 100)
+    assert packed.count() == 10_000 and packed.select("container_id").distinct().count() <= -(-10_000 // 33) + 4
 
 
 def brute_pairs(texts, n=spans.MIN_SPAN):
@@ -128,21 +133,30 @@ def corpus(seed):
     return texts + [texts[-1], texts[-2]]
 
 
-@pytest.mark.parametrize(("seed", "hot"), [(1, 64), (2, 64), (3, 2), (4, 0)])
-def test_shared_spans(spark, seed, hot):
+@pytest.mark.parametrize(("seed", "block"), [(1, 2048), (2, 2048), (3, 2), (4, 1)])
+def test_shared_spans(spark, seed, block):
     texts = corpus(seed)
     docs = documents(spark, texts)
-    pairs = [tuple(r) for r in spans.sharing_pairs(docs, hot=hot).collect()]
+    pairs = [tuple(r) for r in spans.sharing_pairs(docs, block=block).collect()]
     assert len(pairs) == len(set(pairs)) and set(pairs) == brute_pairs(texts)
 
 
+def test_classes_of_a_menu(spark):
+    """A menu on every third page is one class with a row for each page, not a row for each pair."""
+    rng = random.Random(8)
+    menu = "".join(f"Entry {rng.randrange(10**9)} of the menu. " for _ in range(20))
+    texts = [(menu if i % 3 == 0 else "") + chr(0x4E00 + i) + f"Page {i} " + str(rng.random()) for i in range(90)]
+    classes = spans.sharing_classes(documents(spark, texts)).collect()
+    assert sorted(r.doc_id for r in classes) == list(range(0, 90, 3)) and len({r.class_id for r in classes}) == 1 and {r.members for r in classes} == {30}
+    assert spans.sharing_pairs(documents(spark, texts), block=4).count() == 30 * 29 // 2
+
+
 def test_share_and_repeats(spark):
     rng = random.Random(9)
     long = "".join(f"Sentence {rng.randrange(10**9)} of the passage stands here. " for _ in range(12))
     texts = [long, "Own words before. " + long, "Nothing shared at all. " * 3, None, ""]
-    for hot in (64, 1):
-        share = {r.doc_id: r for r in spans.shared_share(documents(spark, texts), hot=hot).collect() if r.doc_id is not None}
-        assert share[0].shared_chars >= len(long) - 1 and share[1].shared_chars >= len(long) - 1 and share[2].shared_chars == 0 and share[3].shared_share == 0.0 and share[0].shared_share > 0.99
-        kept = {r.doc_id: r.text for r in spans.without_repeats(documents(spark, texts), hot=hot).collect()}
-        assert kept[0] == long and kept[1].startswith("Own words before. ") and len(kept[1]) < 120 and kept[2] == texts[2] and kept[3] is None and kept[4] == ""
+    share = {r.doc_id: r for r in spans.shared_share(documents(spark, texts)).collect() if r.doc_id is not None}
+    assert share[0].shared_chars >= len(long) - 1 and share[1].shared_chars >= len(long) - 1 and share[2].shared_chars == 0 and share[3].shared_share == 0.0 and share[0].shared_share > 0.99
+    kept = {r.doc_id: r.text for r in spans.without_repeats(documents(spark, texts)).collect()}
+    assert kept[0] == long and kept[1].startswith("Own words before. ") and len(kept[1]) < 120 and kept[2] == texts[2] and kept[3] is None and kept[4] == ""
     assert spans.sharing_pairs(documents(spark, texts).limit(0)).count() == 0

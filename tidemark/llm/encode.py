@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.lexicon import MAX_WORD_BYTES, Lexicon, compile_lexicon
@@ -91,15 +91,16 @@ def frequent_words(counts: DataFrame, most: int) -> list[bytes]:
 def publish_lexicon(docs: DataFrame, tokenizer: str = TOKENIZER, words: int = LEXICON_WORDS, text: str = "text") -> str:
     """Compile the corpus's most frequent words, at most ``words``, and hand the file to all executors.
 
-    Counts are of the whole corpus; what the bound leaves out only takes the slower path. The file goes to the shared
-    folder under the hash of its content, and from there Spark copies it to each executor, also to ones that join
-    later. Returns the file's name.
+    Counts are of the whole corpus; what the bound leaves out only takes the slower path. Returns the file's name.
     """
-    spark = docs.sparkSession
     top = frequent_words(word_counts(docs, text), words)
     merge = load_merger(tokenizer)
-    blob = compile_lexicon([(w, merge(w)) for w in top])
-    name = f"lexicon-{hashlib.sha256(blob).hexdigest()[:24]}.bin"
+    return share_file(docs.sparkSession, "lexicon", compile_lexicon([(w, merge(w)) for w in top]))
+
+
+def share_file(spark: SparkSession, kind: str, blob: bytes) -> str:
+    """Put bytes into the shared folder, named by their content, and have Spark copy them to each executor, also to ones that join later."""
+    name = f"{kind}-{hashlib.sha256(blob).hexdigest()[:24]}.bin"
     jvm, sc = spark.sparkContext._jvm, spark.sparkContext
     path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}")
     fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
@@ -110,6 +111,12 @@ def publish_lexicon(docs: DataFrame, tokenizer: str = TOKENIZER, words: int = LE
     return name
 
 
+def share_ranks(spark: SparkSession, tokenizer: str) -> str:
+    """The tokenizer's ranks for all executors, which need not have them at this path."""
+    with open(tokenizer, "rb") as f:
+        return share_file(spark, "ranks", f.read())
+
+
 class Encoder:
     """Texts of a batch to ids in one worker."""
 
@@ -159,8 +166,8 @@ class Encoder:
         return per_text, pool[np.repeat(start - upto[:-1], count) + np.arange(upto[-1])]
 
 
-def _encoder(name: str, tokenizer: str) -> Encoder:
-    return _kept("encoder_" + name, lambda: Encoder(SparkFiles.get(name), tokenizer))
+def _encoder(name: str, ranks: str) -> Encoder:
+    return _kept("encoder_" + name, lambda: Encoder(SparkFiles.get(name), SparkFiles.get(ranks)))
 
 
 def token_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, words: int = LEXICON_WORDS) -> DataFrame:
@@ -168,10 +175,10 @@ def token_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", token
 
     Repeated rows give repeated rows, a null doc_id stays null, other columns are ignored. A long text is encoded whole.
     """
-    name = publish_lexicon(docs, tokenizer, words, text)
+    name, ranks = publish_lexicon(docs, tokenizer, words, text), share_ranks(docs.sparkSession, tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(name, tokenizer)
+        encoder = _encoder(name, ranks)
         for batch in batches:
             full, at = batch.column(1).fill_null(""), 0
             for data, ends in slices(full):
@@ -186,10 +193,10 @@ def token_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", token
 
 def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, words: int = LEXICON_WORDS) -> DataFrame:
     """doc_id and n_tokens (bigint) of every row, as token_ids would give them, without making the ids."""
-    name = publish_lexicon(docs, tokenizer, words, text)
+    name, ranks = publish_lexicon(docs, tokenizer, words, text), share_ranks(docs.sparkSession, tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(name, tokenizer)
+        encoder = _encoder(name, ranks)
         for batch in batches:
             counts = [encoder.encode(data, ends, ids=False)[0] for data, ends in slices(batch.column(1).fill_null(""))]
             if counts:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CAPACITY, ITEMS_PER_SHARD = 2048, 50_000
+CAPACITY, ITEMS_PER_SHARD, REPEATS = 2048, 50_000, 4096
 
 
 class RoomTree:
@@ -64,16 +64,20 @@ def pack(items: DataFrame, shards: int, capacity: int = CAPACITY, item: str = "d
 
     An item larger than a container is cut into full pieces and a rest; others stay whole. Items of size 0 (a null
     size counts as 0) take no room and stand in the tightest container. Repeated items are packed each for itself.
-    Items are dealt over shards by row, whatever their keys, and each shard of some 50,000 items is packed by best fit
+    Items are dealt over shards by item, size and number among their repeats, so an item that is a third of all rows is
+    shared out and containers come out alike on every run, and each shard of some 50,000 items is packed by best fit
     decreasing: a shard wastes at most its last container, so the loss against one global packing is below a
     container per shard. An empty table gives no rows.
     """
     kind = dict(items.dtypes)[item]
-    dealt = items.select(
-        F.col(item).alias("item"), F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("size"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard")
-    )
+    counted = items.groupBy(F.col(item).alias("item"), F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("size")).agg(F.count("*").alias("n"))
+    # Repeats are told apart by a number, dealt in two steps, so none makes a long list.
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / REPEATS))))
+    ranked = blocks.select("item", "size", F.explode(F.sequence(F.col("block") * REPEATS, F.least((F.col("block") + 1) * REPEATS, F.col("n")) - 1)).alias("no"))
+    dealt = ranked.withColumn("shard", F.pmod(F.xxhash64("item", "size", "no"), F.lit(shards)))
 
     def run(key, table):
+        table = table.sort_by([("size", "descending"), ("item", "ascending"), ("no", "ascending")])
         sizes = table.column("size").to_numpy()
         full, rest = sizes // capacity, sizes % capacity
         has_rest = (rest > 0) | (full == 0)

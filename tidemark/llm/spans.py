@@ -4,7 +4,10 @@ Where a run starts depends only on nearby characters: at sentence starts, and wi
 least 16-gram of every window (so no stretch goes without a start). A run takes the sentences that fill RUN characters,
 its last sentence cut there. Any span of MIN_SPAN characters two texts share then holds a run that starts and reads
 alike in both: the first start common to both lies within LONG + 2 characters of the span's begin, and LONG + 2 + RUN
-is less than MIN_SPAN. So equal runs are a complete set of candidates; comparing the texts around them is exact.
+is less than MIN_SPAN. So equal runs are a complete set of candidates. Around each, every stretch of MIN_SPAN characters
+is hashed, and equal stretches meet by their hash: no pair of texts is formed to find what is shared, and no text is
+copied for one. Holders of a stretch are a class; a text many others share passages with is in as many classes as it has
+sets of partners.
 """
 
 from __future__ import annotations
@@ -18,10 +21,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.encode import _kept
 from tidemark.llm.pretokens import slices
-from tidemark.session import cut, small
+from tidemark.session import cut
 
 MIN_SPAN, RUN, LONG, WINDOW, GRAM = 300, 184, 110, 94, 16
-HOT = 64
+#: Members of a class that are paired with all others by one task.
+BLOCK = 2048
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -117,41 +121,6 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += len(stop)
 
 
-def _common(a: str, i: int, b: str, j: int, back: bool) -> int:
-    """How many characters agree after (or before) a[i] and b[j]."""
-    most = min(i, j) if back else min(len(a) - i, len(b) - j)
-    lo, step = 0, 64
-    while lo < most:
-        step = min(step, most - lo)
-        same = a[i - lo - step : i - lo] == b[j - lo - step : j - lo] if back else a[i + lo : i + lo + step] == b[j + lo : j + lo + step]
-        if same:
-            lo, step = lo + step, step * 2
-        elif step == 1:
-            return lo
-        else:
-            step //= 2
-    return lo
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans around equal runs, grown as far as the texts agree, of MIN_SPAN characters or more."""
-    for batch in batches:
-        rows: list[tuple] = []
-        for r in batch.to_pylist():
-            a, b, done = r["text_a"], r["text_b"], {}
-            for spot in sorted(r["spots"], key=lambda s: s["pos"]):
-                i, j = spot["pos"], spot["pos"] + spot["shift"]
-                if i < done.get(spot["shift"], -1) or a[i : i + RUN] != b[j : j + RUN]:
-                    continue
-                left, right = _common(a, i, b, j, True), _common(a, i, b, j, False)
-                done[spot["shift"]] = i + right
-                if left + right >= MIN_SPAN:
-                    rows.append((r["a"], r["b"], i - left, j - left, left + right))
-        cols = list(zip(*rows, strict=True)) if rows else [()] * 5
-        kinds = (batch.schema.field("a").type, batch.schema.field("b").type, pa.int32(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["a", "b", "at_a", "at_b", "length"])
-
-
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, at, hash) of every stretch of MIN_SPAN characters that holds one of the given runs."""
     for batch in batches:
@@ -164,52 +133,54 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([same, pa.array(at.astype(np.int32)), pa.array(Rolling(cp).of(at, MIN_SPAN).view(np.int64))], names=["doc_id", "at", "hash"])
 
 
-def shared_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """(spans, stretches): what texts share word for word.
+def shared_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(hash, doc_id, at, lo): every stretch of MIN_SPAN characters that another text has too, ``lo`` being the least id that has it.
 
-    spans: a, b (a < b), at_a, at_b, length of every maximal common span of MIN_SPAN characters or more around a run
-    that occurs at most ``hot`` times. stretches: doc_id, at, hash of every stretch of just MIN_SPAN characters that
-    other texts also have, around runs that occur more often; there pairs are not formed at all, equal stretches
-    meet by their hash. Together they are complete. Null ids and null or shorter texts share nothing.
+    Complete: a longer common span is the union of its stretches. Null ids and null or shorter texts share nothing.
+    Stretches are dealt by their hash once and kept so, which serves all that is asked of them later.
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("doc_id").isNotNull() & (F.length("text") >= MIN_SPAN))
     kind = dict(own.dtypes)["doc_id"]
     runs = cut(own.mapInArrow(_runs, f"doc_id {kind}, pos int, hash bigint"))
-    groups = runs.groupBy("hash").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("n > 1 and lo != hi")
-    repeated = cut(runs.join(groups.select("hash", "n"), "hash"))
-
-    few = repeated.filter(F.col("n") <= hot).groupBy("hash").agg(F.array_sort(F.collect_list(F.struct("doc_id", "pos"))).alias("m"))
-    pairs = F.flatten(F.transform("m", lambda x, i: F.transform(
-        F.filter(F.slice("m", i + 2, F.size("m")), lambda y: y["doc_id"] != x["doc_id"]),
-        lambda y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b"), x["pos"].alias("pos"), (y["pos"] - x["pos"]).alias("shift")),
-    )))
-    spots = few.select(F.explode(pairs).alias("p")).select("p.*").groupBy("a", "b").agg(F.collect_set(F.struct("pos", "shift")).alias("spots"))
-    spots = cut(spots)
-    wanted = small(spots.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), 500_000)
-    texts = own.join(wanted, "doc_id", "left_semi")
-    both = spots.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    spans = both.select("a", "b", "spots", "text_a", "text_b").mapInArrow(_verify, f"a {kind}, b {kind}, at_a int, at_b int, length int")
-
-    many = repeated.filter(F.col("n") > hot).groupBy("doc_id").agg(F.collect_set("pos").alias("spots"))
-    stretches = own.join(many, "doc_id").select("doc_id", "text", "spots").mapInArrow(_windows, f"doc_id {kind}, at int, hash bigint")
-    alike = stretches.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo != hi")
-    return spans, stretches.join(alike.select("hash", "lo"), "hash")
-
-
-def sharing_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
-    """doc_id_a < doc_id_b of every two texts with a common span of MIN_SPAN characters; no pair twice.
+    repeated = runs.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo != hi").select("hash")
+    spots = runs.join(repeated, "hash", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("spots"))
+    every = own.join(spots, "doc_id").select("doc_id", "text", "spots").mapInArrow(_windows, f"doc_id {kind}, at int, hash bigint")
+    dealt = cut(every.repartition("hash"))
+    alike = dealt.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo != hi")
+    return dealt.join(alike.select("hash", "lo"), "hash")
 
-    Frequent stretches held by the very same texts are one group, whose pairs are listed once.
+
+def sharing_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(class_id, doc_id, members): the texts that share a stretch, one class for each different set of texts, however many stretches it shares.
+
+    Any two texts of a class share a span, and any two that do are in a class together; a class lists its members, not
+    its pairs.
     """
-    spans, stretches = shared_spans(docs, doc_id, text, hot)
-    holders = stretches.select("hash", "doc_id").distinct()
+    holders = shared_stretches(docs, doc_id, text).select("hash", "doc_id").distinct()
     mark = F.xxhash64("doc_id")
-    sets = holders.groupBy("hash").agg(F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark, F.lit(1))).alias("y"))
-    chosen = sets.groupBy("n", "x", "y").agg(F.min("hash").alias("hash")).select("hash")
-    held = cut(holders.join(chosen, "hash"))
-    left, right = held.select("hash", F.col("doc_id").alias("a")), held.select("hash", F.col("doc_id").alias("b"))
-    frequent = left.join(right, "hash").filter("a < b").select("a", "b")
-    return spans.select("a", "b").unionByName(frequent).distinct().select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
+    sets = holders.groupBy("hash").agg(F.count("*").alias("members"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark, F.lit(1))).alias("y"))
+    chosen = sets.groupBy("members", "x", "y").agg(F.min("hash").alias("hash")).select("hash", "members")
+    return cut(holders.join(chosen, "hash").select(F.col("hash").alias("class_id"), "doc_id", "members"))
+
+
+def pairs_of(classes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """doc_id_a < doc_id_b of every two members of a class; no pair twice.
+
+    A class is split into blocks of about ``block`` members, and each block meets the whole class in a task of its own, so a
+    class that holds a third of all texts is shared out.
+    """
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    left = classes.select("class_id", F.col("doc_id").alias("doc_id_a"), F.pmod(F.xxhash64("doc_id"), blocks).cast("int").alias("block"))
+    right = classes.select("class_id", F.col("doc_id").alias("doc_id_b"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+    return left.join(right, ["class_id", "block"]).filter("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b").distinct()
+
+
+def sharing_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+    """doc_id_a < doc_id_b of every two texts with a common span of MIN_SPAN characters; no pair twice.
+
+    Pairs are what is asked for here, so their number is that of the answer: a passage that k texts share gives k (k - 1) / 2.
+    """
+    return pairs_of(sharing_classes(docs, doc_id, text), block)
 
 
 def _covered(parts: DataFrame) -> DataFrame:
@@ -220,17 +191,12 @@ def _covered(parts: DataFrame) -> DataFrame:
     return new.groupBy("doc_id").agg(F.sum("new").alias("chars"))
 
 
-def _both_sides(spans: DataFrame, stretches: DataFrame) -> DataFrame:
-    sides = [spans.select(F.col(d).alias("doc_id"), F.col(f"at_{d}").alias("at"), (F.col(f"at_{d}") + F.col("length")).alias("stop")) for d in "ab"]
-    return sides[0].unionByName(sides[1]).unionByName(stretches.select("doc_id", "at", (F.col("at") + MIN_SPAN).alias("stop")))
-
-
-def shared_share(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+def shared_share(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_chars, shared_chars, shared_share of every row: how much of its text also stands in other texts.
 
     Null and empty texts have 0 characters, 0 shared and a share of 0; a null id shares nothing.
     """
-    covered = _covered(_both_sides(*shared_spans(docs, doc_id, text, hot)))
+    covered = _covered(shared_stretches(docs, doc_id, text).select("doc_id", "at", (F.col("at") + MIN_SPAN).alias("stop")))
     every = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.length(text), F.lit(0)).alias("n_chars"))
     out = every.join(covered, "doc_id", "left").withColumn("shared_chars", F.coalesce("chars", F.lit(0)))
     share = F.when(F.col("n_chars") > 0, F.round(F.col("shared_chars") / F.col("n_chars"), 6)).otherwise(F.lit(0.0))
@@ -256,14 +222,12 @@ def _drop_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["doc_id", "text"])
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and text of every row, less the sentences that lie wholly in a span some text with a smaller id has too.
 
     Null texts and texts that repeat nothing come unchanged.
     """
-    spans, stretches = shared_spans(docs, doc_id, text, hot)
-    later = spans.select(F.col("b").alias("doc_id"), F.col("at_b").alias("at"), (F.col("at_b") + F.col("length")).alias("stop"))
-    later = later.unionByName(stretches.filter("doc_id != lo").select("doc_id", "at", (F.col("at") + MIN_SPAN).alias("stop")))
+    later = shared_stretches(docs, doc_id, text).filter("doc_id != lo").select("doc_id", "at", (F.col("at") + MIN_SPAN).alias("stop"))
     parts = later.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("at", "stop")).alias("parts"))
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(parts, "doc_id", "left")
     return own.mapInArrow(_drop_sentences, f"doc_id {dict(docs.dtypes)[doc_id]}, text string")
