@@ -26,6 +26,8 @@ from tidemark.session import cut
 MIN_SPAN, RUN, LONG, WINDOW, GRAM = 300, 184, 110, 94, 16
 #: Members of a class that are paired with all others by one task.
 BLOCK = 2048
+#: Said outright, for a join would add it to one use of an exchange only.
+WHOLE = "hash is not null and doc_id is not null"
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -133,20 +135,27 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([same, pa.array(at.astype(np.int32)), pa.array(Rolling(cp).of(at, MIN_SPAN).view(np.int64))], names=["doc_id", "at", "hash"])
 
 
+def _dealt_stretches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(hash, doc_id, at) of every stretch around a run that other texts hold too, dealt by hash.
+
+    Both what is counted and what is kept of the runs comes from one exchange, which Spark reuses where the two plans are
+    alike; so the count looks at all columns, and nothing has to be written twice.
+    """
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("doc_id").isNotNull() & (F.length("text") >= MIN_SPAN))
+    kind = dict(own.dtypes)["doc_id"]
+    runs = own.mapInArrow(_runs, f"doc_id {kind}, pos int, hash bigint").filter(WHOLE).repartition("hash")
+    repeated = runs.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("pos").alias("last")).filter("lo != hi or last < 0").select("hash")
+    spots = runs.join(repeated, "hash").groupBy("doc_id").agg(F.collect_set("pos").alias("spots"))
+    return own.join(spots, "doc_id").select("doc_id", "text", "spots").mapInArrow(_windows, f"doc_id {kind}, at int, hash bigint").filter(WHOLE)
+
+
 def shared_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(hash, doc_id, at, lo): every stretch of MIN_SPAN characters that another text has too, ``lo`` being the least id that has it.
 
     Complete: a longer common span is the union of its stretches. Null ids and null or shorter texts share nothing.
-    Stretches are dealt by their hash once and kept so, which serves all that is asked of them later.
     """
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("doc_id").isNotNull() & (F.length("text") >= MIN_SPAN))
-    kind = dict(own.dtypes)["doc_id"]
-    runs = cut(own.mapInArrow(_runs, f"doc_id {kind}, pos int, hash bigint"))
-    repeated = runs.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo != hi").select("hash")
-    spots = runs.join(repeated, "hash", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("spots"))
-    every = own.join(spots, "doc_id").select("doc_id", "text", "spots").mapInArrow(_windows, f"doc_id {kind}, at int, hash bigint")
-    dealt = cut(every.repartition("hash"))
-    alike = dealt.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo != hi")
+    dealt = _dealt_stretches(docs, doc_id, text).repartition("hash")
+    alike = dealt.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("at").alias("last")).filter("lo != hi or last < 0")
     return dealt.join(alike.select("hash", "lo"), "hash")
 
 
@@ -156,9 +165,9 @@ def sharing_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Any two texts of a class share a span, and any two that do are in a class together; a class lists its members, not
     its pairs.
     """
-    holders = shared_stretches(docs, doc_id, text).select("hash", "doc_id").distinct()
+    holders = _dealt_stretches(docs, doc_id, text).select("hash", "doc_id").repartition("hash").distinct()
     mark = F.xxhash64("doc_id")
-    sets = holders.groupBy("hash").agg(F.count("*").alias("members"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark, F.lit(1))).alias("y"))
+    sets = holders.groupBy("hash").agg(F.count("*").alias("members"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark, F.lit(1))).alias("y")).filter("members > 1")
     chosen = sets.groupBy("members", "x", "y").agg(F.min("hash").alias("hash")).select("hash", "members")
     return cut(holders.join(chosen, "hash").select(F.col("hash").alias("class_id"), "doc_id", "members"))
 
