@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import json
 import zipfile
@@ -12,16 +13,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import cli, publish
-from tidemark.errors import CleaningError, IntegrityError, LandingError, PolicyError, PublishError, QualityError, RegistryError
+from tidemark.errors import CleaningError, IntegrityError, LandingError, PolicyError, PublishError, QualityError, RegistryError, SettingsError
 from tidemark.operators import assemble, quality
 from tidemark.operators.normalize import normalize
 from tidemark.operators.revisions import LATEST_ONLY, clean_source
 from tidemark.operators.trends import trends
-from tidemark.plans.fact import FACT_COLUMNS
+from tidemark.plans.fact import FACT_COLUMNS, FACT_TYPES, LOAD_TYPES
 from tidemark.sources import archives
 from tidemark.sources.landing import Lander, Response, retry_delay, utc_release
 from tidemark.sources.registry import HttpPolicy, Registry, Source, load_policy, load_registry
-from tidemark.specs import ACTIVITY, MARKET, PRICES, Profile, QualityPolicy, TrendSpec
+from tidemark.specs import ACTIVITY, MARKET, PRICES, SOURCES, Profile, QualityPolicy, TrendSpec
 
 DWELLINGS = {"Total units": 10, "Single-detached units": 4, "Semi-detached units": 3, "Row units": 2, "Apartment and other unit types": 1}
 
@@ -137,11 +138,18 @@ def test_publish(spark, fact, tmp_path):
     shorter = fact.filter("reference_month >= '2023-06-01' and dwelling_type != 'row'")
     publish.publish(shorter, table, audit, replace(report, metrics=report.metrics | {"row_count": shorter.count()}))
     now = publish.read_fact(spark, table)
-    assert now.count() == 5 * 5 + 8 * 4 and set(now.columns) == set(FACT_COLUMNS)
+    assert now.count() == 5 * 5 + 8 * 4 and set(now.columns) == {*FACT_COLUMNS, *LOAD_TYPES} and now.select("source_load_batch_id").distinct().count() == 2
+    assert {n: t for n, t in now.dtypes if n in FACT_TYPES} == FACT_TYPES
+    first = publish.current_version(spark, table)
+    january = fact.filter("reference_month = '2024-01-01'")
+    publish.publish(january, table, audit, replace(report, metrics=report.metrics | {"row_count": 5}))
+    second = publish.current_version(spark, table)
+    assert second.number == 3 and second.years[2023] == first.years[2023] and second.years[2024] != first.years[2024]  # only the touched year
+    assert publish.read_fact(spark, table).count() == 58 and not publish._announce(spark, table, second)
     with pytest.raises(PublishError):
         publish.publish(fact, table, audit, report if False else replace(report, metrics={"row_count": 1}))
-    assert publish.read_fact(spark, table).count() == 57
-    assert sorted(r.status for r in audit.states().collect()) == ["FAILED", "SUCCEEDED", "SUCCEEDED"]
+    assert publish.read_fact(spark, table).count() == 58
+    assert sorted(r.status for r in audit.states().collect()) == ["FAILED", "SUCCEEDED", "SUCCEEDED", "SUCCEEDED"]
     audit.start("x", "development", datetime.now(UTC).replace(tzinfo=None))
     with pytest.raises(PublishError):
         publish.publish(fact, table, audit, report)
@@ -151,6 +159,34 @@ def test_publish(spark, fact, tmp_path):
     assert {p.name for p in (tmp_path / "plain").glob("reference_year=*")} == {"reference_year=2023", "reference_year=2024"}
 
 
+def test_overtaken_publishers_start_over(spark, fact, tmp_path, monkeypatch):
+    """Two that start from the same version: the later one finds its number taken and builds on the other's."""
+    table, real = str(tmp_path / "t"), publish._announce
+    year = {y: fact.filter(f"reference_year = {y}") for y in (2023, 2024)}
+    calls = []
+
+    def announce(spark, table, version):
+        calls.append(version.number)
+        if len(calls) == 1:
+            monkeypatch.setattr(publish, "_announce", real)
+            publish.replace_published(year[2023], table, date(2023, 1, 1), date(2023, 12, 1))
+            monkeypatch.setattr(publish, "_announce", announce)
+        return real(spark, table, version)
+
+    monkeypatch.setattr(publish, "_announce", announce)
+    publish.replace_published(year[2024], table, date(2024, 1, 1), date(2024, 1, 1))
+    assert calls == [1, 2] and publish.read_fact(spark, table).count() == 65
+
+
+def test_warehouse_settings():
+    env = {"TIDEMARK_JDBC_URL": "jdbc:x:y", "TIDEMARK_JDBC_TABLE": "s.t", "TIDEMARK_JDBC_USER": "u", "TIDEMARK_JDBC_PASSWORD": " p", "TIDEMARK_JDBC_BATCH_ROWS": "500"}
+    to = publish.load_warehouse(env)
+    assert to.options()["batchsize"] == "500" and to.password == " p" and " p" not in repr(to) and publish.load_warehouse({}) is None
+    for broken in ({"TIDEMARK_JDBC_TABLE": "t; drop"}, {"TIDEMARK_JDBC_USER": " "}, {"TIDEMARK_JDBC_BATCH_ROWS": "x"}, {"TIDEMARK_JDBC_BATCH_ROWS": "0"}):
+        with pytest.raises(SettingsError):
+            publish.load_warehouse(env | broken)
+
+
 # Sources.
 SOURCE = Source(ACTIVITY.source_id, str(ACTIVITY.product_id), "https://x.example/link", "https://x.example/a.zip", "data.csv", "meta.csv", 10_000, 6, "2024-01", "2024-12")
 REGISTRY = Registry("raw", "https://x.example/meta", HttpPolicy(), {"p": Profile("p", (SOURCE.id,), "2024-01-01", "2024-12-01")}, {SOURCE.id: SOURCE})
@@ -215,6 +251,76 @@ def test_landing_refusals(tmp_path):
     assert retry_delay(1, "Mon, 01 Jan 2024 00:01:00 GMT", policy, max, now) == 60
 
 
+def test_broken_download_is_tried_again(tmp_path):
+    body, calls = archive(), []
+
+    def breaking():
+        yield body[:50]
+        raise ConnectionResetError("reset")
+
+    plain = transport(body)
+
+    def call(method, where, payload=None):
+        r = plain(method, where, payload)
+        if (method, where) == ("GET", SOURCE.expected_download_url):
+            calls.append(where)
+            if len(calls) == 1:
+                r.body = breaking()
+        return r
+
+    assert Lander(REGISTRY, tmp_path, call, sleep=lambda s: None).land(SOURCE).status == "downloaded" and len(calls) == 2
+    calls.clear()
+    always = lambda m, w, p=None: Response(200, {"content-type": "application/zip"}, breaking()) if (m, w) == ("GET", SOURCE.expected_download_url) else plain(m, w, p)
+    with pytest.raises(LandingError):
+        Lander(REGISTRY, tmp_path / "b", always, sleep=lambda s: None).land(SOURCE)
+    assert not list((tmp_path / "b").rglob("archive.zip"))
+
+
+def test_shipped_configuration():
+    registry = load_registry("config/sources.toml")
+    assert set(registry.sources) == set(SOURCES) and registry.profile("full").start == "2016-01-01" and registry.source(ACTIVITY.source_id).data_member == "34100154.csv"
+    for name, spec in SOURCES.items():
+        assert registry.source(name).product_id == str(spec.product_id) and registry.source(name).dimensions[1:] == tuple(raw for raw, _ in spec.dimensions)
+    assert load_policy("config/validation.toml", "development").max_rows == 360 and load_policy("config/validation.toml", "full").null_thresholds["housing_starts"] == 0.01
+
+
+def test_run_with_the_shipped_configuration(tmp_path, monkeypatch, spark, capsys):
+    """clean and run --skip-ingestion over landed archives, with the default registry and policies."""
+    monkeypatch.setenv("TIDEMARK_RAW", str(tmp_path / "raw"))
+    monkeypatch.setenv("TIDEMARK_INTERIM", str(tmp_path / "interim"))
+    monkeypatch.setenv("TIDEMARK_OUTPUT", str(tmp_path / "out"))
+    areas = (("Toronto, Ontario", "535"), ("Vancouver, British Columbia", "933"), ("Calgary, Alberta", "825"))
+    months = [f"{y}-{m:02d}" for y in (2024, 2025) for m in range(1, 13)]
+    market = {"Total units": "Total units", "Single-detached units": "Single units", "Apartment and other unit types": "Apartment and other types of units"}
+
+    def lines(spec):
+        out = []
+        for month in months:
+            for name, code in areas:
+                if spec is PRICES:
+                    dims = [((x,), "101.5") for x in ("Total (house and land)", "House only", "Land only")]
+                elif spec is ACTIVITY:
+                    dims = [((x, d), str(n)) for d, n in DWELLINGS.items() for x in ("Housing starts", "Housing completions", "Housing under construction")]
+                else:
+                    dims = [((market.get(d, d), x), str(n if x == "Rental" else 0)) for d, n in DWELLINGS.items() for x in ("Homeowner", "Rental", "Condo", "Co-op", "Other market")]
+                out += [",".join(f'"{v}"' for v in raw_row(spec, month, name, f"2021S0503{code}", ds, v)[: len(spec.raw_columns)]).replace('"None"', '""') for ds, v in dims]
+        return out
+
+    for spec in (ACTIVITY, MARKET, PRICES):
+        blob = io.BytesIO()
+        with zipfile.ZipFile(blob, "w") as z:
+            z.writestr(f"{spec.product_id}.csv", ",".join(f'"{c}"' for c in spec.raw_columns) + "\n" + "\n".join(lines(spec)) + "\n")
+        sha = hashlib.sha256(blob.getvalue()).hexdigest()
+        folder = tmp_path / "raw" / "cubes" / spec.source_id / "release=20260101T133000Z" / f"sha256={sha}"
+        folder.mkdir(parents=True)
+        (folder / "archive.zip").write_bytes(blob.getvalue())
+        (folder / "manifest.json").write_text(json.dumps({"source_id": spec.source_id, "sha256": sha, "release": "20260101T133000Z", "data_member": f"{spec.product_id}.csv"}))
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)  # the tests share one session
+    assert cli.main(["clean"]) == 0 and "1080 rows, 0 not publishable" in capsys.readouterr().out
+    assert cli.main(["run", "--skip-ingestion"]) == 0 and "wrote 360 rows" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "out" / "housing_monthly")).count() == 360
+
+
 def test_header_drift(spark, tmp_path):
     Lander(REGISTRY, tmp_path, transport(archive("a,b\n1,2\n"))).land(SOURCE)
     with pytest.raises(CleaningError):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import http.client
 import json
 import os
 import sys
@@ -40,11 +41,32 @@ def load_settings(env: dict[str, str] | None = None) -> Settings:
 
 
 def http_transport(policy: HttpPolicy):
+    """Plain requests: one time limit for connecting, another for each read."""
+
+    def limited(kind: type[http.client.HTTPConnection]) -> type:
+        class Limited(kind):  # type: ignore[misc,valid-type]
+            def connect(self) -> None:
+                self.timeout = policy.connect_timeout_seconds
+                super().connect()
+                self.sock.settimeout(policy.read_timeout_seconds)
+
+        return Limited
+
+    class Plain(urllib.request.HTTPHandler):
+        def http_open(self, request):
+            return self.do_open(limited(http.client.HTTPConnection), request)
+
+    class Secure(urllib.request.HTTPSHandler):
+        def https_open(self, request):
+            return self.do_open(limited(http.client.HTTPSConnection), request)
+
+    opener = urllib.request.build_opener(Plain, Secure)
+
     def call(method: str, url: str, payload: Any = None) -> Response:
         data = None if payload is None else json.dumps(payload).encode()
         request = urllib.request.Request(url, data, {"Content-Type": "application/json"} if data else {}, method=method)
         try:
-            r = urllib.request.urlopen(request, timeout=policy.read_timeout_seconds)
+            r = opener.open(request)
         except urllib.error.HTTPError as error:
             r = error
         return Response(r.status, {k.lower(): v for k, v in r.headers.items()}, iter(lambda: r.read(CHUNK), b""))
@@ -109,6 +131,7 @@ def run_command(args: argparse.Namespace, settings: Settings) -> None:
 
 def aggregate(spark, clean: dict, policy, args: argparse.Namespace, settings: Settings) -> None:
     from pyspark import StorageLevel
+    from pyspark.sql import functions as F
 
     from tidemark import publish
     from tidemark.operators.assemble import build_fact
@@ -119,6 +142,10 @@ def aggregate(spark, clean: dict, policy, args: argparse.Namespace, settings: Se
         if args.publish_table:
             done = publish.publish(fact, args.publish_table, publish.Audit(spark, f"{args.publish_table}/_audit"), require(fact, policy))
             print(f"published {done.rows} rows as {done.version}")
+            warehouse = publish.load_warehouse(dict(os.environ))
+            if warehouse is not None:
+                publish.write_jdbc(publish.read_fact(spark, args.publish_table).filter(F.col("source_load_batch_id") == done.batch), warehouse)
+                print(f"wrote {done.rows} rows to {warehouse.table}")
         else:
             target = str(args.output or settings.output / "housing_monthly")
             report = publish.validate_then_write(fact, policy, lambda f: publish.write_fact(f, target))

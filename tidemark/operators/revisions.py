@@ -16,9 +16,11 @@ REQUIRED = ("source_id", "geography", "source_release_timestamp", "source_archiv
 
 
 def union_releases(releases: Sequence[DataFrame]) -> DataFrame:
-    """Rows of several releases of one source, matched by column name."""
+    """Rows of several releases of one source, matched by column name; frames with other columns are of another source."""
     if not releases:
         raise CleaningError("no release to read")
+    if any(set(r.columns) != set(releases[0].columns) for r in releases):
+        raise CleaningError("the releases differ in their columns, so they are of different sources")
     out = releases[0]
     for more in releases[1:]:
         out = out.unionByName(more)
@@ -49,10 +51,12 @@ def profile_filter(df: DataFrame, profile: Profile) -> DataFrame:
 def dedup_latest(df: DataFrame, spec: SourceSpec, tie: Sequence[str] = ()) -> DataFrame:
     """One row per natural key: newest release, active before terminated, revised first, publishable first.
 
-    Remaining ties fall to the greater vector and then ``tie`` (descending). Nulls come last. The rank needs only the
+    Remaining ties fall to the greater vector, then ``tie``, coordinate, checksum and value (descending), so the result
+    doesn't depend on how rows are partitioned. Nulls come last. The rank needs only the
     top row, so Spark limits groups before the shuffle and a hot key ships one row per map task.
     """
-    order = [F.desc_nulls_last("source_release_timestamp"), F.asc("is_terminated"), F.desc("is_revised"), F.desc("is_publishable"), F.desc_nulls_last("source_vector"), *(F.desc_nulls_last(c) for c in tie)]
+    order = [F.desc_nulls_last("source_release_timestamp"), F.asc("is_terminated"), F.desc("is_revised"), F.desc("is_publishable"), F.desc_nulls_last("source_vector")]
+    order += [F.desc_nulls_last(c) for c in (*tie, "source_coordinate", "source_archive_sha256", spec.measure, "status_code", "symbol_code", "geography")]
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*spec.natural_key).orderBy(*order)))
     return ranked.filter("_rank = 1").drop("_rank")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,8 @@ from tidemark.operators.normalize import blank, normalize, project
 from tidemark.operators.revisions import clean_source, clean_summary, dedup_latest, drop_missing_keys, profile_filter, union_releases
 from tidemark.operators.rollup import canonical_dwelling, eligible, permit_rollup, rollup
 from tidemark.operators.trends import trends
-from tidemark.session import read
+from tidemark.plans.fact import FACT_COLUMNS
+from tidemark.session import read, shared_folder
 from tidemark.specs import ACTIVITY, ACTIVITY_ROLLUP, MARKET, MARKET_ROLLUP, PERMIT_CONTEXT, PERMITS, PRICE_CONTEXT, PRICE_ROLLUP, PRICES, Profile, QualityPolicy, SourceSpec, TrendSpec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,7 +206,10 @@ def fact_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_full(spark, sf_dir).repartition("reference_year").sortWithinPartitions(*assemble.KEYS)
+    """The fact written by the sink, one directory a year, and read again."""
+    target = f"{shared_folder(spark)}/fact-{uuid.uuid4().hex}"
+    publish.write_fact(fact_full(spark, sf_dir), target)
+    return spark.read.parquet(target).select(*FACT_COLUMNS)
 
 
 # Trends over the published facts, repeats removed, each profile by itself.
@@ -275,5 +280,7 @@ def month_range_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_audit_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    audit = read(spark, sf_dir, "elt_load_audit")
-    return audit.groupBy("validation_profile", "status").agg(F.count("*").alias("attempts"), F.max("published_row_count").alias("most_published"), F.min("reference_start").alias("first_month"), F.max("reference_end").alias("last_month"))
+    """Of each load batch the last state of its audit, counted by profile and state."""
+    log = read(spark, sf_dir, "elt_load_audit").withColumn("at_utc", F.coalesce("completed_at_utc", "started_at_utc").cast("timestamp"))
+    states = publish.last_states(log.select(*publish.AUDIT_COLUMNS))
+    return states.groupBy("validation_profile", "status").agg(F.count("*").alias("batches"), F.max("published_row_count").alias("most_published"), F.min("reference_start").alias("first_month"), F.max("reference_end").alias("last_month"))

@@ -172,5 +172,5 @@ SQL: dict[str, str] = {
     "month_range_replace": f"""with n as (select * from fct_housing_monthly where not created_at_utc < timestamp '2024-01-01'), o as (select * from fct_housing_monthly where created_at_utc < timestamp '2024-01-01'),
  b as (select source_validation_profile, min(reference_month) as lo, max(reference_month) as hi from n group by 1)
  select {_SERIES}, reference_month, housing_starts from n union all select {_SERIES}, reference_month, housing_starts from o where not exists (select 1 from b where b.source_validation_profile = o.source_validation_profile and o.reference_month between b.lo and b.hi)""",
-    "load_audit_shape": "select validation_profile, status, count(*) as attempts, max(published_row_count) as most_published, min(reference_start) as first_month, max(reference_end) as last_month from elt_load_audit group by 1, 2",
+    "load_audit_shape": "select validation_profile, status, count(*) as batches, max(published_row_count) as most_published, min(reference_start) as first_month, max(reference_end) as last_month from (select * from elt_load_audit qualify row_number() over (partition by load_batch_id order by coalesce(completed_at_utc, started_at_utc) desc, status <> 'STARTED' desc) = 1) group by 1, 2",
 }

@@ -6,11 +6,14 @@ import csv
 import io
 import os
 import shutil
+import uuid
 import zipfile
+from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,7 +71,7 @@ def extract(snapshot: Snapshot, spec: SourceSpec, into: Path) -> Path:
         if target.exists() and target.stat().st_size == z.getinfo(snapshot.data_member).file_size:
             return target
         target.parent.mkdir(parents=True, exist_ok=True)
-        part = target.with_name(target.name + ".part")
+        part = target.with_name(f"{target.name}.{uuid.uuid4().hex}.part")  # a task may run twice at once
         try:
             with z.open(snapshot.data_member) as source, part.open("wb") as out:
                 shutil.copyfileobj(source, out, 1 << 20)
@@ -90,6 +93,36 @@ def scan(spark: SparkSession, path: str, spec: SourceSpec, snapshot: Snapshot) -
     })
 
 
+def extract_all(spark: SparkSession, snapshots: list[Snapshot], spec: SourceSpec, into: Path) -> list[str]:
+    """The data members of all snapshots as files, one task an archive; ``into`` must be a folder that all executors share.
+
+    Only paths come back, one for each archive.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for row in frame.itertuples():
+                snapshot = Snapshot(spec.source_id, datetime.now(UTC), row.sha256, Path(row.archive), row.data_member)
+                try:
+                    out.append((row.no, str(extract(snapshot, spec, into)), None))
+                except (CleaningError, OSError, zipfile.BadZipFile, KeyError) as problem:
+                    out.append((row.no, None, str(problem)))
+            yield pd.DataFrame(out, columns=["no", "path", "problem"])
+
+    rows = [(i, s.sha256, str(s.archive), s.data_member) for i, s in enumerate(snapshots)]
+    work = spark.createDataFrame(rows, "no int, sha256 string, archive string, data_member string").repartition(len(rows), "no")
+    done = sorted(work.mapInPandas(run, "no int, path string, problem string").collect())
+    wrong = [r.problem for r in done if r.problem is not None]
+    if wrong:
+        raise CleaningError("; ".join(wrong))
+    return [r.path for r in done]
+
+
 def read_snapshots(spark: SparkSession, root: Path, interim: Path, spec: SourceSpec) -> DataFrame:
     """All releases of a source, united by column name."""
-    return union_releases([scan(spark, str(extract(s, spec, interim)), spec, s) for s in discover(root, spec)])
+    snapshots = discover(root, spec)
+    if any(s.source_id != spec.source_id for s in snapshots):
+        raise CleaningError(f"not all snapshots are of {spec.source_id}")
+    paths = extract_all(spark, snapshots, spec, Path(interim))
+    return union_releases([scan(spark, path, spec, s) for path, s in zip(paths, snapshots, strict=True)])

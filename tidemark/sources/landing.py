@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import email.utils
 import hashlib
+import http.client
 import json
 import os
 import random
@@ -40,6 +41,8 @@ class Response:
     def json(self) -> Any:
         try:
             return json.loads(b"".join(self.body))
+        except (OSError, http.client.HTTPException) as problem:
+            raise LandingError(f"the answer broke off: {problem}") from problem
         except ValueError as problem:
             raise LandingError(f"the answer is no JSON: {problem}") from problem
 
@@ -117,6 +120,14 @@ def check_archive(path: Path, members: Iterable[str]) -> None:
         raise IntegrityError(f"broken member {broken!r}" if broken else f"missing members: {', '.join(missing)}")
 
 
+def _unbroken(body: Iterable[bytes], what: str) -> Iterable[bytes]:
+    """The chunks of a body; a connection that breaks on the way is like bytes that are not what was promised, worth one more download."""
+    try:
+        yield from body
+    except (OSError, http.client.HTTPException) as problem:
+        raise IntegrityError(f"{what}: the download broke off: {problem}") from problem
+
+
 class Lander:
     def __init__(
         self, registry: Registry, root: Path, transport: Transport, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic,
@@ -215,7 +226,7 @@ class Lander:
         try:
             size, digest = 0, hashlib.sha256()
             with (work / "archive.zip").open("wb") as f:
-                for chunk in r.body:
+                for chunk in _unbroken(r.body, source.id):
                     size += len(chunk)
                     if size > source.max_archive_bytes:
                         raise LandingError(f"{source.id}: more than {source.max_archive_bytes} bytes")

@@ -79,6 +79,17 @@ def _toml(path: str | Path, error: type[Exception]) -> dict[str, Any]:
         raise error(f"{path}: {problem}") from problem
 
 
+#: Version of the files' layout that is understood; a file that says none has this one.
+CONTRACT_VERSION = 1
+
+
+def _contract(path: str | Path, error: type[Exception]) -> dict[str, Any]:
+    raw = _toml(path, error)
+    if raw.get("contract_version", CONTRACT_VERSION) != CONTRACT_VERSION:
+        raise error(f"{path}: contract version {raw['contract_version']!r}, not {CONTRACT_VERSION}")
+    return raw
+
+
 def _record(kind: type, raw: dict[str, Any], where: str, error: type[Exception] = RegistryError) -> Any:
     given = {f.name: tuple(raw[f.name]) if isinstance(raw[f.name], list) else raw[f.name] for f in fields(kind) if f.name in raw}
     try:
@@ -88,7 +99,7 @@ def _record(kind: type, raw: dict[str, Any], where: str, error: type[Exception]
 
 
 def load_registry(path: str | Path) -> Registry:
-    raw = _toml(path, RegistryError)
+    raw = _contract(path, RegistryError)
     listed = [_record(Source, s, f"source {s.get('id')}") for s in raw.get("sources", [])]
     for what, values in (("id", [s.id for s in listed]), ("product id", [s.product_id for s in listed])):
         if len(values) != len(set(values)):
@@ -111,7 +122,7 @@ def load_registry(path: str | Path) -> Registry:
 
 def load_policy(path: str | Path, name: str) -> QualityPolicy:
     """A named policy; shares must lie between 0 and 1, counts must make sense, keys and types be given once."""
-    policies = _toml(path, PolicyError).get("profiles", {})
+    policies = _contract(path, PolicyError).get("profiles", {})
     if name not in policies:
         raise PolicyError(f"no policy {name!r}; there are {', '.join(sorted(policies))}")
     raw = policies[name]
