@@ -29,7 +29,7 @@ CHECK_SEED, DIGEST_SEED, HASH_BITS = 101, 202, 60
 CHUNK_ROWS, CHUNK_CELLS = 262_144, 4_000_000
 SKETCH = "archive long, bucket long, cell array<int>, n array<long>, k array<long>, v array<long>, c array<long>"
 PEELED = "release long, bucket long, failed boolean, kh long"
-ARCHIVES_BROADCAST, TOUCHED_BROADCAST = 500_000, 1_000_000
+ARCHIVES_BROADCAST, TOUCHED_BROADCAST = 400_000, 400_000
 
 
 def release_pairs(releases: DataFrame) -> DataFrame:
